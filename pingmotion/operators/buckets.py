@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import time_bucket
+from ..functions import round_half_up, time_bucket
 from ..settings import COORDINATE_PLACES, DEFAULTS, RUN_KEYS, MotionParams
 
 
@@ -23,8 +23,8 @@ def bucket_positions(bucketed: DataFrame, run_keys: Sequence[str] = RUN_KEYS) ->
     one partial row per task.
     """
     return bucketed.groupBy(*run_keys, "uid", "sec").agg(
-        F.avg(F.round("latitude", COORDINATE_PLACES)).alias("lat"),
-        F.avg(F.round("longitude", COORDINATE_PLACES)).alias("long"),
+        F.avg(round_half_up(F.col("latitude"), COORDINATE_PLACES)).alias("lat"),
+        F.avg(round_half_up(F.col("longitude"), COORDINATE_PLACES)).alias("long"),
         F.count("*").alias("n_pings"),
     )
 

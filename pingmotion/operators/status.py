@@ -48,13 +48,12 @@ def status_rows(events: DataFrame) -> DataFrame:
 
     ``events`` has key and time, and may have status (default 1) and metadata.
     """
-    now = F.current_timestamp()
     status = F.col("status").cast("int") if "status" in events.columns else F.lit(1)
     meta = F.col("metadata").cast("string") if "metadata" in events.columns else F.lit(None)
     return with_time_parts(events).select(
         # later appends get larger ids; the row number keeps ids apart within one append
-        (F.unix_micros(now) + F.monotonically_increasing_id()).alias("id"),
-        F.to_timestamp_ntz(F.date_format(now, "yyyy-MM-dd HH:mm:ss.SSSSSS")).alias("timestamp"),
+        (F.unix_micros(F.current_timestamp()) + F.monotonically_increasing_id()).alias("id"),
+        F.localtimestamp().alias("timestamp"),
         "key",
         *TIME_PARTS,
         status.alias("status"),

@@ -13,14 +13,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import great_circle_miles, mean_measured, turn_between
+from ..functions import great_circle_miles, mean_measured, round_half_up, turn_between
 from ..settings import COORDINATE_PLACES, DEFAULTS, NOT_MEASURABLE, RUN_KEYS, MotionParams
 
 _MISSING = NOT_MEASURABLE
 
 
 def _along(run_keys: Sequence[str]):
-    return Window.partitionBy(*run_keys, "uid").orderBy("sec")
+    # uid comes first because the sort compares the first key by its leading bytes, and the
+    # run keys are nearly constant
+    return Window.partitionBy("uid", *run_keys).orderBy("sec")
 
 
 def measurable_buckets(buckets: DataFrame) -> DataFrame:
@@ -36,8 +38,8 @@ def with_neighbours(buckets: DataFrame, run_keys: Sequence[str] = RUN_KEYS) -> D
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     placed = measurable_buckets(buckets).withColumns(
         {
-            "lat_r": F.round("lat", COORDINATE_PLACES),
-            "long_r": F.round("long", COORDINATE_PLACES),
+            "lat_r": round_half_up(F.col("lat"), COORDINATE_PLACES),
+            "long_r": round_half_up(F.col("long"), COORDINATE_PLACES),
         }
     )
     moved = {"n_buckets": F.count("*").over(whole)}
@@ -130,7 +132,7 @@ def with_mean_turn_angle(
     reach = f"{float(params.thres_s)}D"
     # as text, because rangeBetween takes whole numbers only
     frame = (
-        f"(PARTITION BY {', '.join(f'`{k}`' for k in (*run_keys, 'uid'))} ORDER BY sec"
+        f"(PARTITION BY {', '.join(f'`{k}`' for k in ('uid', *run_keys))} ORDER BY sec"
         f" RANGE BETWEEN {reach} PRECEDING AND {reach} FOLLOWING)"
     )
     sums = turned.withColumns(

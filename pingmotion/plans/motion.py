@@ -34,7 +34,9 @@ GATE_COLS = ("too_freq_uid", "r_s_info", "sl_adjusted_confidence")
 
 def in_a_run(pings: DataFrame, run_keys: Sequence[str] = RUN_KEYS) -> DataFrame:
     """Pings whose run is known; a run is picked by equality, which null never meets."""
-    return pings.dropna(subset=list(run_keys))
+    for key in run_keys:
+        pings = pings.where(F.col(key).isNotNull())
+    return pings
 
 
 def answer_members(

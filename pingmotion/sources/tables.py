@@ -52,8 +52,8 @@ def insert_partitions(
     partitions present in ``df``.
     """
     rows = df.withColumns({k: F.lit(v) for k, v in (partition or {}).items()})
-    target = rows.sparkSession.table(table)
-    rows = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema])
+    # also puts the fields of nested rows in the order of the table
+    rows = rows.to(rows.sparkSession.table(table).schema)
     writer = rows.hint("rebalance", *keys).write
     if replace:
         writer.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)

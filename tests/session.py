@@ -2,15 +2,17 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from pingmotion.session import with_settings
 
-def local_session(cores: str = "8") -> SparkSession:
+
+def local_session(cores: str = "8", memory: str = "8g") -> SparkSession:
+    builder = with_settings(SparkSession.builder.master(f"local[{cores}]"))
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName("pingmotion-tests")
+        builder.appName("pingmotion")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
