@@ -1,9 +1,9 @@
 """Speed and turn angle along a trajectory, as window expressions.
 
-A trajectory is the set of buckets of one device in one run. In a run of one hour it has
-at most 3600 / lower_s + 1 buckets however many pings there were, also for the group
-without uid, so window partitions stay small. All expressions share one partitioning and
-order: one exchange, one sort, one Window node.
+A trajectory is the set of buckets of one device in one run. Its length is limited by the
+time span of the run and not by the number of pings: 721 buckets of five seconds in an
+hour, also for the group without uid. All expressions share one partitioning and order:
+one exchange, one sort, one Window node.
 """
 
 from __future__ import annotations

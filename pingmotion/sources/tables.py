@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +40,18 @@ def create_footprint_table(spark: SparkSession, table: str, path: str) -> None:
     )
 
 
+@contextmanager
+def _overwrite_mode(spark: SparkSession, mode: str):
+    """An insert into a table takes the mode from the session and not from the writer."""
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def insert_partitions(
     df: DataFrame,
     table: str,
@@ -54,11 +67,8 @@ def insert_partitions(
     rows = df.withColumns({k: F.lit(v) for k, v in (partition or {}).items()})
     # also puts the fields of nested rows in the order of the table
     rows = rows.to(rows.sparkSession.table(table).schema)
-    writer = rows.hint("rebalance", *keys).write
-    if replace:
-        writer.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
-    else:
-        writer.insertInto(table, overwrite=False)
+    with _overwrite_mode(rows.sparkSession, "dynamic"):
+        rows.hint("rebalance", *keys).write.insertInto(table, overwrite=replace)
 
 
 def name_result(df: DataFrame, name: str) -> DataFrame:

@@ -12,6 +12,7 @@ def local_session(cores: str = "8", memory: str = "8g") -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.maxMetadataStringLength", "10000")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
