@@ -35,14 +35,13 @@ from pingmotion.operators.trajectory import (
     with_segments,
     with_turn_angle,
 )
-from pingmotion.plans.catchup import backfill, catch_up
+from pingmotion.plans.catchup import backfill, catch_up, hour_range
 from pingmotion.plans.context import context_speed
 from pingmotion.plans.motion import (
     as_stored,
     days_union,
     derived_speed,
     footprint_speed,
-    one_of,
     request_speed,
     unmeasured_requests,
 )
@@ -240,16 +239,15 @@ def derived_speed_hourly(spark, sf_dir):
 
 
 def derived_speed_backfill(spark, sf_dir):
-    stored = _stored_pings(spark, sf_dir)
-    hours = one_of(stored, ["us"]).select(*RUN_KEYS)
-    return _decoded(backfill(stored, hours))
+    hours = hour_range(spark, ["us"], range(4), date(2024, 1, 1), days=7)
+    return _decoded(backfill(_stored_pings(spark, sf_dir), hours))
 
 
 def _footprints(spark, sf_dir):
     """Place matches of one day's table with speed and angle, as the result table holds them."""
     tag = uuid.uuid4().hex[:8]
-    name_result(inputs.footprint_pings(spark, sf_dir), f"a_request_{tag}_240101_par")
-    days = read_days(spark, "a_request_" + tag + "_{yymmdd}_par", date(2024, 1, 1), 1)
+    name_result(inputs.footprint_pings(spark, sf_dir), f"day_pings_{tag}_240101")
+    days = read_days(spark, "day_pings_" + tag + "_{yymmdd}", date(2024, 1, 1), 1)
     return footprint_speed(days_union(days))
 
 
@@ -302,8 +300,7 @@ def status_latest(spark, sf_dir):
 def status_lookup(spark, sf_dir):
     log = inputs.status_log(spark, sf_dir)
     asked = inputs.event_times(spark, sf_dir)
-    found = st.lookup(log, asked, "status")
-    return st.lookup(log, found, "metadata").select(
+    return st.lookup(log, asked, "status", "metadata").select(
         "event_id", "key", "time", "status", "metadata"
     )
 

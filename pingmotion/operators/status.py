@@ -61,28 +61,30 @@ def status_rows(events: DataFrame) -> DataFrame:
     ).to(STATUS)
 
 
-def lookup(log: DataFrame, requests: DataFrame, column: str = "status") -> DataFrame:
-    """Newest value of ``column`` for each request (key and event time); null if none.
+def lookup(log: DataFrame, requests: DataFrame, *columns: str) -> DataFrame:
+    """Values of ``columns`` (default: status) in the newest matching row for each request
+    (key and event time); null if there is none.
 
     A request matches on the time parts it gives, so a date without hour also matches the
     hourly rows of that day. The log is folded to one row per key and prefix of the time
     first (a rollup, pre-aggregated per input task), and requests then meet at most one row
     by equality: a busy key never pairs all its rows with all its requests.
     """
-    newest = F.max_by(F.col(column), F.struct("timestamp", "id"))
+    columns = columns or ("status",)
+    newest = F.max_by(F.struct(*columns), F.struct("timestamp", "id"))
     levels = (
         log.groupingSets(
             [["key", *TIME_PARTS[:n]] for n in range(len(TIME_PARTS) + 1)],
             "key",
             *TIME_PARTS,
         )
-        .agg(newest.alias("value"), F.grouping_id().alias("_unused"))
+        .agg(newest.alias("_newest"), F.grouping_id().alias("_folded"))
         # grouping_id has one bit per part that was folded away: 0, 1, 3, 7, 15
         .select(
             F.col("key").alias("_key"),
             *[F.coalesce(F.col(p), F.lit(-1)).alias(f"_{p}") for p in TIME_PARTS],
-            (F.lit(len(TIME_PARTS)) - F.bit_count("_unused")).cast("int").alias("_depth"),
-            "value",
+            (F.lit(len(TIME_PARTS)) - F.bit_count("_folded")).cast("int").alias("_depth"),
+            "_newest",
         )
     )
     parts = time_parts(F.col("time"))
@@ -92,7 +94,9 @@ def lookup(log: DataFrame, requests: DataFrame, column: str = "status") -> DataF
     same = (F.col("key") == F.col("_key")) & (F.col("depth") == F.col("_depth"))
     for p in TIME_PARTS:
         same = same & (F.coalesce(F.col(p), F.lit(-1)) == F.col(f"_{p}"))
-    return asked.join(levels, same, "left").select(*requests.columns, F.col("value").alias(column))
+    return asked.join(levels, same, "left").select(
+        *requests.columns, *[F.col("_newest")[c].alias(c) for c in columns]
+    )
 
 
 def latest_hours(log: DataFrame) -> DataFrame:
@@ -128,10 +132,10 @@ def pending_hours(
     return hours.select(
         "country",
         "stage",
-        *[
-            F.expr(f"extract({part} FROM hour)").cast("int").alias(name)
-            for name, part in (("y", "YEAR"), ("m", "MONTH"), ("d", "DAY"), ("h", "HOUR"))
-        ],
+        F.year("hour").alias("y"),
+        F.month("hour").alias("m"),
+        F.day("hour").alias("d"),
+        F.hour("hour").alias("h"),
         as_hour_text(F.col("hour")).alias("time"),
     )
 

@@ -2,18 +2,45 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.status import pending_hours, status_rows, task_key
+from ..operators.status import as_hour_text, pending_hours, status_rows, task_key
 from ..settings import DEFAULTS, RESULT_PREFIX, MotionParams
 from ..sources.orc import write_partitioned
 from ..sources.scratch import settled
 from .motion import derived_speed, only_hours
 
 
+def hour_range(
+    spark: SparkSession,
+    countries: Sequence[str],
+    stages: Sequence[int],
+    first: date,
+    days: int,
+) -> DataFrame:
+    """Every hour of a range of days for a list of countries and stages, as runs."""
+    start = f"timestamp_ntz'{first.isoformat()} 00:00:00'"
+    hours = spark.range(days * 24).selectExpr(
+        f"{start} + make_dt_interval(0, cast(id AS int)) AS hour"
+    )
+    listed = hours.select(
+        "hour", F.explode(F.array(*[F.lit(c) for c in countries])).alias("country")
+    ).select("*", F.explode(F.array(*[F.lit(int(s)) for s in stages])).alias("stage"))
+    return listed.select(
+        "country",
+        "stage",
+        F.year("hour").alias("y"),
+        F.month("hour").alias("m"),
+        F.day("hour").alias("d"),
+        F.hour("hour").alias("h"),
+        as_hour_text(F.col("hour")).alias("time"),
+    )
+
+
 def backfill(pings: DataFrame, hours: DataFrame, params: MotionParams = DEFAULTS) -> DataFrame:
     """Result rows of the listed runs (country, stage, y, m, d, h), computed at once."""
     return derived_speed(only_hours(pings, hours), params)

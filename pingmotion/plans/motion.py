@@ -115,11 +115,6 @@ def only_hours(
     return pings.join(F.broadcast(runs) if short else runs, list(run_keys), "left_semi")
 
 
-def one_of(pings: DataFrame, countries: Sequence[str]) -> DataFrame:
-    """Keep the countries of a country list."""
-    return pings.where(F.col("country").isin(*countries))
-
-
 def days_union(tables: Sequence[DataFrame]) -> DataFrame:
     """The per-day tables of a backfill as one table, so that all days run in one job."""
     return reduce(DataFrame.unionByName, tables)

@@ -141,13 +141,13 @@ def test_damaged_files_are_skipped_or_reported(spark, tmp_path):
 def test_day_table_to_partition_of_result_table(spark, sf_dir):
     from pingmotion import footprint_speed
 
-    name_result(inputs.footprint_pings(spark, sf_dir), "a_request_181010_par")
+    name_result(inputs.footprint_pings(spark, sf_dir), "day_pings_181010")
     day = date(2018, 10, 10)
-    one = read_day(spark, "a_request_{yymmdd}_par", day, "09")
+    one = read_day(spark, "day_pings_{yymmdd}", day, "09")
     assert {r.hr for r in one.select("hr").distinct().collect()} == {"09"}
     table = "footprint_result_test"
     create_footprint_table(spark, table, scratch.new_folder(spark, "table"))
-    hours = footprint_speed(read_day(spark, "a_request_{yymmdd}_par", day))
+    hours = footprint_speed(read_day(spark, "day_pings_{yymmdd}", day))
     insert_partitions(hours, table)
     assert spark.table(table).count() == hours.count()
     # a repeated hour is replaced, the others stay; the partition may be given from outside
