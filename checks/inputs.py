@@ -8,7 +8,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_MICROS = "timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts)"
+# from the parts of the zoneless timestamp, so that the session zone has no say
+_MICROS = (
+    "(datediff(cast(ts AS date), date'1970-01-01') * 86400000000 + hour(ts) * 3600000000"
+    " + minute(ts) * 60000000L + cast(extract(SECOND FROM ts) * 1000000 AS bigint))"
+)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -105,7 +105,9 @@ def latest_hours(log: DataFrame) -> DataFrame:
 
 
 def as_hour_text(hour: Column) -> Column:
-    return F.date_format(hour, "yyyy-MM-dd-HH")
+    """``yyyy-MM-dd-HH``. Cut from the plain text: ``date_format`` would pass through the
+    session zone, where an hour may not exist."""
+    return F.translate(F.substring(hour.cast("string"), 1, 13), " ", "-")
 
 
 def pending_hours(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from pingmotion.operators import status as st
@@ -98,6 +99,26 @@ def test_pending_hours_span_whole_days(spark):
     assert (got[0].y, got[0].m, got[0].d, got[0].h) == (2018, 10, 10, 0)
 
 
+@pytest.mark.parametrize("zone", ["America/Los_Angeles", "Europe/London"])
+def test_hours_do_not_depend_on_the_session_zone(spark, zone):
+    # 2018-03-11 02:00 does not exist in Los Angeles, 2018-03-25 01:00 not in London
+    rows = []
+    for day in (11, 25):
+        rows += [
+            (f"ard/d{day}/0/", (2018, 3, day, 4), 1, None),
+            (f"derived_speed/d{day}/0/", (2018, 3, day - 1, 23), 1, None),
+        ]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = st.pending_hours(log(spark, rows)).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    for day in (11, 25):
+        mine = sorted((r.h, r.time) for r in got if r.country == f"d{day}")
+        assert mine == [(h, f"2018-03-{day}-0{h}") for h in range(5)]
+
+
 def test_append_and_head(spark):
     path = scratch.new_folder(spark, "status")
     log(spark, [("b", (2017, 1, 1, 0), 1, None)]).write.orc(path)
