@@ -103,16 +103,21 @@ def only_hours(
     pings: DataFrame,
     hours: DataFrame,
     run_keys: Sequence[str] = RUN_KEYS,
-    broadcast_rows: int = 10_000,
+    short_list: int = 10_000,
 ) -> DataFrame:
     """Keep the runs listed in ``hours``.
 
-    A list of at most ``broadcast_rows`` runs is broadcast, which also lets Spark skip the
-    partition directories of other runs; a longer list is joined by shuffle.
+    A list of at most ``short_list`` runs is broadcast, and the values of each run key go
+    into plain filters first, from which the source skips the partition directories of
+    other runs in every scan. A longer list is joined by shuffle.
     """
     runs = hours.select(*run_keys).distinct()
-    short = len(runs.take(broadcast_rows + 1)) <= broadcast_rows
-    return pings.join(F.broadcast(runs) if short else runs, list(run_keys), "left_semi")
+    listed = runs.take(short_list + 1)
+    if len(listed) > short_list:
+        return pings.join(runs, list(run_keys), "left_semi")
+    for key in run_keys:
+        pings = pings.where(F.col(key).isin(sorted({r[key] for r in listed} - {None})))
+    return pings.join(F.broadcast(runs), list(run_keys), "left_semi")
 
 
 def days_union(tables: Sequence[DataFrame]) -> DataFrame:

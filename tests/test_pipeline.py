@@ -152,9 +152,10 @@ def test_only_listed_hours(spark):
     df = frame(spark, moving(5, "a", h=5) + moving(5, "b", h=6) + moving(5, "c", h=5, country="gb"))
     hours = spark.createDataFrame([("us", 0, 2018, 10, 9, 5)] * 2, "country string, stage int, y int, m int, d int, h int")
     for limit in (10_000, 0):
-        got = only_hours(df, hours, broadcast_rows=limit)
+        got = only_hours(df, hours, short_list=limit)
         assert {r.uid for r in got.collect()} == {"a"}
         assert got.count() == 5
+    assert only_hours(df, hours.limit(0)).count() == 0
 
 
 def test_context_zero_is_the_plain_hour(spark, sf_dir):

@@ -60,13 +60,16 @@ def test_position_scan_reads_no_request_ids(spark, stored):
     assert "request_id" not in scan and "Batched: true" in scan
 
 
-def test_hours_list_prunes_directories_at_run_time(spark, stored):
-    from pingmotion.plans.motion import only_hours
-
-    pings = read_partitioned(spark, stored, PINGS)
-    hours = pings.where("country = 'us' and h = 9").select(*RUN_KEYS)
-    plan = only_hours(pings, hours)._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruning" in plan
+def test_hours_list_prunes_directories_in_every_scan(spark, stored):
+    from pingmotion.plans.catchup import backfill, hour_range
+
+    hours = hour_range(spark, ["us"], [0, 1], date(2024, 1, 1), 1).where("h = 9")
+    plan = backfill(read_partitioned(spark, stored, PINGS), hours)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan orc" in line]
+    assert len(scans) >= 3
+    for scan in scans:
+        filters = scan.split("PartitionFilters:")[1].split("PushedFilters:")[0]
+        assert "stage" in filters and "= 9" in filters and "= us" in filters, filters
 
 
 def test_results_keep_padded_parts_and_repeat_safely(spark, sf_dir):
