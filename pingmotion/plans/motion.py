@@ -6,10 +6,10 @@ every grouping and window, so the answer is the same as from one job per hour.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import answer_json, zero_padded
@@ -32,11 +32,13 @@ POSITION_COLS = ("r_timestamp", "latitude", "longitude")
 GATE_COLS = ("too_freq_uid", "r_s_info", "sl_adjusted_confidence")
 
 
+def _every(conditions: Iterable[Column]) -> Column:
+    return reduce(lambda a, b: a & b, conditions)
+
+
 def in_a_run(pings: DataFrame, run_keys: Sequence[str] = RUN_KEYS) -> DataFrame:
     """Pings whose run is known; a run is picked by equality, which null never meets."""
-    for key in run_keys:
-        pings = pings.where(F.col(key).isNotNull())
-    return pings
+    return pings.where(_every(F.col(key).isNotNull() for key in run_keys))
 
 
 def answer_members(
@@ -115,9 +117,9 @@ def only_hours(
     listed = runs.take(short_list + 1)
     if len(listed) > short_list:
         return pings.join(runs, list(run_keys), "left_semi")
-    for key in run_keys:
-        pings = pings.where(F.col(key).isin(sorted({r[key] for r in listed} - {None})))
-    return pings.join(F.broadcast(runs), list(run_keys), "left_semi")
+    named = {key: sorted({r[key] for r in listed} - {None}) for key in run_keys}
+    near = pings.where(_every(F.col(key).isin(values) for key, values in named.items()))
+    return near.join(F.broadcast(runs), list(run_keys), "left_semi")
 
 
 def days_union(tables: Sequence[DataFrame]) -> DataFrame:
