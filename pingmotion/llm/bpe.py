@@ -27,7 +27,7 @@ REMEMBERED = 1 << 18
 #: longer pre-tokens are not remembered
 REMEMBERED_CHARS = 64
 #: bytes of text split at once, characters of pre-tokens merged in one run
-PIECE_BYTES, RUN_BYTES = 1 << 21, 1 << 19
+PIECE_BYTES, RUN_BYTES = 6 << 20, 4 << 20
 _LEVEL = 8  # bits of a rank that one bitmap word covers
 
 
@@ -87,7 +87,7 @@ class Vocabulary:
                 if left is not None and right is not None:
                     pairs[left << 32 | right] = rank
         self.bytes = np.array([ranks[bytes([b])] for b in range(256)])
-        self.bits = max(len(pairs) * 2, 2).bit_length() + 1
+        self.bits = max(len(pairs) * 4, 2).bit_length() + 1
         keys = np.fromiter(pairs, np.int64, len(pairs))
         # an open table: each key in the first free slot from its own
         self.keys = np.full(1 << self.bits, -1)
@@ -165,11 +165,10 @@ def merge_tokens(tokens: list[bytes], vocabulary: Vocabulary, one_by_one: bool =
         after[at] = after[right]
         before[after[at]] = at
         left = before[at]
-        waiting[at] = vocabulary.pair_ranks(ids[at], ids[after[at]])
-        waiting[left] = vocabulary.pair_ranks(ids[left], ids[at])
-        waiting[n] = -1
         touched = np.concatenate([at, left])
-        found = waiting[touched]
+        found = vocabulary.pair_ranks(ids[touched], ids[np.concatenate([after[at], at])])
+        waiting[touched] = found
+        waiting[n] = -1
         if not one_by_one and len(at) > 1:
             redo.update(owner[touched[(found >= 0) & (found < rank)]].tolist())
         new = found >= 0
