@@ -36,7 +36,7 @@ PATTERNS = {
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?+[0-9]){11,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-_OCTET = r"0*+(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+_OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _WORTH_A_LOOK = {"email": "@", "phone": "+"}
 
 
