@@ -123,6 +123,7 @@ def path_partitions(spark, sf_dir):
         {name: wanted and [f"{name}={v}" for v in wanted] for name, wanted in levels.items()},
         body,
         {k: "int" for k in ("y", "m", "d", "h")},
+        named=levels,
     )
     return constant_columns(read, {"dt": "2024-01-01"}).select(
         "request_id", "uid", "stage", *levels, "dt"

@@ -15,6 +15,28 @@ def with_time_bucket(pings: DataFrame, params: MotionParams = DEFAULTS) -> DataF
     return pings.withColumn("sec", time_bucket(F.col("r_timestamp"), params.lower_s))
 
 
+def bucket_sums(bucketed: DataFrame, run_keys: Sequence[str] = RUN_KEYS) -> DataFrame:
+    """Per (run, device, bucket) the sums and counts from which its position follows."""
+    lat = round_half_up(F.col("latitude"), COORDINATE_PLACES)
+    long = round_half_up(F.col("longitude"), COORDINATE_PLACES)
+    return bucketed.groupBy(*run_keys, "uid", "sec").agg(
+        F.sum(lat).alias("lat_sum"),
+        F.count(lat).alias("lat_n"),
+        F.sum(long).alias("long_sum"),
+        F.count(long).alias("long_n"),
+        F.count("*").alias("n_pings"),
+    )
+
+
+def merged_positions(sums: DataFrame, run_keys: Sequence[str] = RUN_KEYS) -> DataFrame:
+    """Bucket positions from sums, several rows of a bucket merged."""
+    return sums.groupBy(*run_keys, "uid", "sec").agg(
+        F.try_divide(F.sum("lat_sum"), F.sum("lat_n")).alias("lat"),
+        F.try_divide(F.sum("long_sum"), F.sum("long_n")).alias("long"),
+        F.sum("n_pings").alias("n_pings"),
+    )
+
+
 def bucket_positions(bucketed: DataFrame, run_keys: Sequence[str] = RUN_KEYS) -> DataFrame:
     """One row per (run, device, bucket) with the mean of the rounded coordinates.
 

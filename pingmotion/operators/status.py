@@ -46,13 +46,13 @@ def event_hour() -> Column:
 def status_rows(events: DataFrame) -> DataFrame:
     """Rows to append to the log, stamped with the time of the job.
 
-    ``events`` has key and time, and may have status (default 1) and metadata.
+    ``events`` has key and time, and may have status (default 1) and metadata. ``id`` is
+    random: it tells rows apart and says nothing about order; that is the timestamp's.
     """
     status = F.col("status").cast("int") if "status" in events.columns else F.lit(1)
     meta = F.col("metadata").cast("string") if "metadata" in events.columns else F.lit(None)
     return with_time_parts(events).select(
-        # later appends get larger ids; the row number keeps ids apart within one append
-        (F.unix_micros(F.current_timestamp()) + F.monotonically_increasing_id()).alias("id"),
+        F.xxhash64(F.expr("uuid()")).alias("id"),
         F.localtimestamp().alias("timestamp"),
         "key",
         *TIME_PARTS,
@@ -66,19 +66,29 @@ def lookup(log: DataFrame, requests: DataFrame, *columns: str) -> DataFrame:
     (key and event time); null if there is none.
 
     A request matches on the time parts it gives, so a date without hour also matches the
-    hourly rows of that day. The log is folded to one row per key and prefix of the time
-    first (a rollup, pre-aggregated per input task), and requests then meet at most one row
-    by equality: a busy key never pairs all its rows with all its requests.
+    hourly rows of that day. Only right parts may be missing: a request with a hole, such
+    as a day without month, matches nothing, and neither does one without key. Of rows with
+    equal timestamps the larger id counts as newer.
+
+    The log is folded to its distinct event times first, then those to every prefix of the
+    time, and requests meet at most one row by equality: a busy key never pairs all its
+    rows with all its requests.
     """
     columns = columns or ("status",)
-    newest = F.max_by(F.struct(*columns), F.struct("timestamp", "id"))
+    when = F.struct("timestamp", "id")
+    events = log.groupBy("key", *TIME_PARTS).agg(
+        F.max_by(F.struct(when.alias("_when"), F.struct(*columns).alias("_row")), when).alias("_last")
+    )
     levels = (
-        log.groupingSets(
+        events.groupingSets(
             [["key", *TIME_PARTS[:n]] for n in range(len(TIME_PARTS) + 1)],
             "key",
             *TIME_PARTS,
         )
-        .agg(newest.alias("_newest"), F.grouping_id().alias("_folded"))
+        .agg(
+            F.max_by(F.col("_last._row"), F.col("_last._when")).alias("_newest"),
+            F.grouping_id().alias("_folded"),
+        )
         # grouping_id has one bit per part that was folded away: 0, 1, 3, 7, 15
         .select(
             F.col("key").alias("_key"),
@@ -114,22 +124,30 @@ def pending_hours(
     log: DataFrame, input_prefix: str = INPUT_PREFIX, result_prefix: str = RESULT_PREFIX
 ) -> DataFrame:
     """Hours with input but without result, per country and stage: those after the latest
-    result hour up to and including the latest input hour."""
+    result hour up to and including the latest input hour. A place without any result hour
+    (daily results do not count) begins at its earliest input hour. Spellings of a key that
+    name the same place count together."""
 
-    def latest(prefix: str, name: str) -> DataFrame:
-        own = log.where(F.col("key").startswith(prefix))
-        place = F.split(F.substring("key", len(prefix) + 1, 1_000_000), "/")
-        return latest_hours(own).select(
+    def hours_of(prefix: str) -> DataFrame:
+        place = F.split(F.col("key").substr(F.lit(len(prefix) + 1), F.length("key")), "/")
+        return log.where(F.col("key").startswith(prefix)).select(
             F.get(place, F.lit(0)).alias("country"),
             F.get(place, F.lit(1)).try_cast("int").alias("stage"),
-            F.col("latest").alias(name),
-        )
+            event_hour().alias("at"),
+        ).where("country IS NOT NULL AND stage IS NOT NULL")
 
-    both = latest(input_prefix, "have").join(latest(result_prefix, "done"), ["country", "stage"])
-    hours = both.where(F.col("have") > F.col("done")).select(
+    by_place = ["country", "stage"]
+    have = hours_of(input_prefix).groupBy(by_place).agg(
+        F.min("at").alias("begun"), F.max("at").alias("have")
+    )
+    done = hours_of(result_prefix).groupBy(by_place).agg(F.max("at").alias("done"))
+    both = have.join(done, by_place, "left").withColumn(
+        "first", F.expr("coalesce(done + interval 1 hour, begun)")
+    )
+    hours = both.where(F.col("first") <= F.col("have")).select(
         "country",
         "stage",
-        F.explode(F.expr("sequence(done + interval 1 hour, have, interval 1 hour)")).alias("hour"),
+        F.explode(F.expr("sequence(first, have, interval 1 hour)")).alias("hour"),
     )
     return hours.select(
         "country",

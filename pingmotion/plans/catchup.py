@@ -8,9 +8,10 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import zero_padded
 from ..operators.status import as_hour_text, pending_hours, status_rows, task_key
-from ..settings import DEFAULTS, RESULT_PREFIX, MotionParams
-from ..sources.orc import write_partitioned
+from ..settings import DEFAULTS, PADDED_KEYS, RESULT_PREFIX, RUN_KEYS, MotionParams
+from ..sources.orc import clear_runs, write_partitioned
 from ..sources.scratch import settled
 from .motion import derived_speed, only_hours
 
@@ -53,6 +54,18 @@ def done_events(hours: DataFrame) -> DataFrame:
     )
 
 
+def replace_runs(
+    pings: DataFrame, hours: DataFrame, output: str, params: MotionParams = DEFAULTS
+) -> None:
+    """Compute the listed runs and make ``output`` hold just these rows of them: rows of an
+    earlier computation go, also those filed under other keys or of an hour now empty.
+    Other runs stay. A failure in between leaves runs without rows; repeat the call."""
+    hours = settled(hours)
+    padded = {c: zero_padded(F.col(c)) for c in PADDED_KEYS}
+    clear_runs(pings.sparkSession, output, hours.withColumns(padded), RUN_KEYS)
+    write_partitioned(backfill(pings, hours, params), output)
+
+
 def catch_up(
     pings: DataFrame,
     log: DataFrame,
@@ -61,10 +74,10 @@ def catch_up(
     params: MotionParams = DEFAULTS,
 ) -> DataFrame:
     """Compute and write the pending hours, then hand their status rows to
-    ``append_status``. Partitions are replaced, so a run that failed before its status was
+    ``append_status``. Whole runs are replaced, so a run that failed before its status was
     logged can be repeated. The pending hours are settled first: an hour whose input is
     logged while the job runs is neither computed nor logged as done. Returns them."""
     hours = settled(pending_hours(log))
-    write_partitioned(backfill(pings, hours, params), output, replace=True)
+    replace_runs(pings, hours, output, params)
     append_status(status_rows(done_events(hours)))
     return hours

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.buckets import bucket_members, bucket_positions, with_time_bucket
+from ..operators.buckets import bucket_members, bucket_sums, merged_positions, with_time_bucket
 from ..operators.fanout import fan_out
 from ..operators.gates import eligible_pings
 from ..operators.trajectory import bucket_motion
@@ -71,7 +71,9 @@ def context_speed(
     else:
         members = hours_between(members, target, target)
         seen_by = F.expr(f"timestamp_ntz'{target:%Y-%m-%d %H:00:00}'")
-    positions = bucket_positions(eligible.withColumn("target_hour", seen_by), CONTEXT_RUN_KEYS)
+    # buckets of the ping's own hour first: only these are seen by several target hours
+    sums = bucket_sums(eligible, ("country", "stage", "own_hour"))
+    positions = merged_positions(sums.withColumn("target_hour", seen_by), CONTEXT_RUN_KEYS)
     motion = bucket_motion(positions, CONTEXT_RUN_KEYS, params)
     answered = fan_out(
         bucket_members(members, ("request_id", *RESULT_KEYS), CONTEXT_RUN_KEYS),

@@ -27,6 +27,7 @@ from ..settings import (
     RUN_KEYS,
     MotionParams,
 )
+from ..sources.scratch import settled
 
 POSITION_COLS = ("r_timestamp", "latitude", "longitude")
 GATE_COLS = ("too_freq_uid", "r_s_info", "sl_adjusted_confidence")
@@ -102,24 +103,18 @@ def footprint_speed(
 
 
 def only_hours(
-    pings: DataFrame,
-    hours: DataFrame,
-    run_keys: Sequence[str] = RUN_KEYS,
-    short_list: int = 10_000,
+    pings: DataFrame, hours: DataFrame, run_keys: Sequence[str] = RUN_KEYS
 ) -> DataFrame:
-    """Keep the runs listed in ``hours``.
+    """Keep the runs listed in ``hours``, whose rows are settled first.
 
-    A list of at most ``short_list`` runs is broadcast, and the values of each run key go
-    into plain filters first, from which the source skips the partition directories of
-    other runs in every scan. A longer list is joined by shuffle.
+    The distinct values of each run key are few, however many runs there are. They are
+    gathered into one row and become plain filters, from which the source skips the
+    partition directories of other runs in every scan; a semi-join then picks the runs.
     """
-    runs = hours.select(*run_keys).distinct()
-    listed = runs.take(short_list + 1)
-    if len(listed) > short_list:
-        return pings.join(runs, list(run_keys), "left_semi")
-    named = {key: sorted({r[key] for r in listed} - {None}) for key in run_keys}
-    near = pings.where(_every(F.col(key).isin(values) for key, values in named.items()))
-    return near.join(F.broadcast(runs), list(run_keys), "left_semi")
+    runs = settled(hours.select(*run_keys).distinct())
+    values = runs.agg(*[F.collect_set(key).alias(key) for key in run_keys]).first()
+    near = pings.where(_every(F.col(key).isin(sorted(values[key])) for key in run_keys))
+    return near.join(runs, list(run_keys), "left_semi")
 
 
 def days_union(tables: Sequence[DataFrame]) -> DataFrame:

@@ -1,14 +1,18 @@
-"""Directory trees whose levels hold partition values by position, not ``name=value``."""
+"""Directory trees whose levels hold partition values by position, not only ``name=value``."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: fixed value: the directory of a null partition value
+NULL_DIRECTORY = "__HIVE_DEFAULT_PARTITION__"
+
+
 def slices_glob(base: str, levels: Mapping[str, Sequence[str] | None]) -> str:
     """One glob for every combination of the wanted values; None takes any value."""
 
@@ -20,15 +24,41 @@ def slices_glob(base: str, levels: Mapping[str, Sequence[str] | None]) -> str:
     return "/".join([base.rstrip("/"), *map(level, levels.values())])
 
 
-def with_path_values(df: DataFrame, levels: Sequence[str], types: Mapping[str, str]) -> DataFrame:
-    """Add one column per directory level, counted from the file upwards."""
+def _decoded(text):
+    """Percent escapes undone; a plus sign is one."""
+    return F.url_decode(F.regexp_replace(text, r"\+", "%2B"))
+
+
+def with_path_values(
+    df: DataFrame,
+    levels: Sequence[str],
+    types: Mapping[str, str],
+    named: Collection[str] = (),
+    listed: Collection[str] = (),
+) -> DataFrame:
+    """Add one column per directory level, counted from the file upwards.
+
+    Levels in ``named`` are written as ``name=value`` with the escapes and the null directory
+    that Spark gives them; others are the directory's name as it is. A value that is not of
+    the type asked for is null, but stops the job for a level in ``listed``, whose values
+    were asked for. The columns are computed, so filters on them skip no directory.
+    """
     parent_dirs = F.split(F.col("_metadata.file_path"), "/")
     depth = len(levels)
 
     def value(i: int):
-        folder = F.element_at(parent_dirs, i - depth - 1)
-        # a level written as name=value counts by its value
-        return F.regexp_replace(folder, "^[^=]*=", "").cast(types.get(levels[i], "string"))
+        name = levels[i]
+        text = _decoded(F.element_at(parent_dirs, i - depth - 1))  # the path is a URI
+        if name in named:
+            text = _decoded(F.regexp_replace(text, "^[^=]*=", ""))
+            text = F.when(text != NULL_DIRECTORY, text)
+        if name not in types:
+            return text
+        typed = text.try_cast(types[name])
+        if name not in listed:
+            return typed
+        wrong = F.concat(F.lit(f"directory of level {name} is no {types[name]}: "), text)
+        return F.when(text.isNotNull() & typed.isNull(), F.raise_error(wrong)).otherwise(typed)
 
     return df.withColumns({name: value(i) for i, name in enumerate(levels)})
 
@@ -39,12 +69,14 @@ def read_slices(
     levels: Mapping[str, Sequence[str] | None],
     schema: T.StructType,
     types: Mapping[str, str] | None = None,
-    skip_unreadable: bool = True,
+    skip_unreadable: bool = False,
+    named: Collection[str] = (),
 ) -> DataFrame:
     """Read many slices as one scan with their path values as columns.
 
-    Combinations that have no directory fall out when the glob is expanded. With
-    ``skip_unreadable`` damaged files are left out too, with a warning in the task log.
+    ``levels`` gives the wanted directories of each level; combinations that have no
+    directory fall out when the glob is expanded. With ``skip_unreadable`` damaged files are
+    left out; ``skipped_files`` lists them.
     """
     files = (
         spark.read.schema(schema)
@@ -52,7 +84,27 @@ def read_slices(
         .option("ignoreMissingFiles", skip_unreadable)
         .orc(slices_glob(base, levels))
     )
-    return with_path_values(files, list(levels), types or {})
+    listed = [name for name, wanted in levels.items() if wanted is not None]
+    return with_path_values(files, list(levels), types or {}, named, listed)
+
+
+def skipped_files(
+    spark: SparkSession, base: str, levels: Mapping[str, Sequence[str] | None], schema: T.StructType
+) -> DataFrame:
+    """``file_path`` of the slices' files that give no row: damaged ones, and empty ones."""
+    glob = slices_glob(base, levels)
+    there = spark.read.format("binaryFile").load(glob).select(F.col("_metadata.file_path"))
+    whole = F.struct(*[F.col(f.name) for f in schema])  # reading the columns shows the damage
+    read = (
+        spark.read.schema(schema)
+        .option("ignoreCorruptFiles", True)
+        .option("ignoreMissingFiles", True)
+        .orc(glob)
+        .groupBy(F.col("_metadata.file_path").alias("file_path"))
+        .agg(F.max(F.hash(whole)).alias("seen"))
+        .select("file_path")
+    )
+    return there.join(read, "file_path", "left_anti")
 
 
 def constant_columns(df: DataFrame, values: Mapping[str, object]) -> DataFrame:

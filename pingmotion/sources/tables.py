@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from contextlib import contextmanager
 from datetime import date, timedelta
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,16 +41,20 @@ def create_footprint_table(spark: SparkSession, table: str, path: str) -> None:
     )
 
 
+_overwrite_lock = Lock()  # the setting is the session's, and threads may share one
+
+
 @contextmanager
 def _overwrite_mode(spark: SparkSession, mode: str):
     """An insert into a table takes the mode from the session and not from the writer."""
     name = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(name)
-    spark.conf.set(name, mode)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+    with _overwrite_lock:
+        before = spark.conf.get(name)
+        spark.conf.set(name, mode)
+        try:
+            yield
+        finally:
+            spark.conf.set(name, before)
 
 
 def insert_partitions(

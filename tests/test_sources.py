@@ -14,7 +14,7 @@ from pingmotion.schema import ping_schema, result_schema
 from pingmotion.settings import RESULT_KEYS, RUN_KEYS
 from pingmotion.sources import scratch
 from pingmotion.sources.orc import hour_slice, read_partitioned, write_partitioned
-from pingmotion.sources.paths import constant_columns, read_slices, slices_glob
+from pingmotion.sources.paths import constant_columns, read_slices, skipped_files, slices_glob
 from pingmotion.sources.tables import (
     create_footprint_table,
     insert_partitions,
@@ -136,9 +136,28 @@ def test_damaged_files_are_skipped_or_reported(spark, tmp_path):
     bad.mkdir()
     (bad / "part-0.orc").write_bytes(b"no orc at all")
     schema = T.StructType([T.StructField("id", T.LongType())])
-    assert read_slices(spark, str(tmp_path), {"x": None}, schema).count() == 3
+    assert read_slices(spark, str(tmp_path), {"x": None}, schema, skip_unreadable=True).count() == 3
     with pytest.raises(Exception):
-        read_slices(spark, str(tmp_path), {"x": None}, schema, skip_unreadable=False).collect()
+        read_slices(spark, str(tmp_path), {"x": None}, schema).collect()
+    skipped = [r.file_path for r in skipped_files(spark, str(tmp_path), {"x": None}, schema).collect()]
+    assert len([p for p in skipped if p.endswith("b/part-0.orc")]) == 1
+    assert not [p for p in skipped if p.rsplit("/", 1)[0].endswith("/a") and p not in skipped]
+
+
+def test_path_values_are_decoded(spark, tmp_path):
+    values = ["a b", "x/y", "p=q", "1+1", "50%", None]
+    rows = spark.createDataFrame([(i, v, i) for i, v in enumerate(values)] + [(9, "n", None)], "id int, k string, n int")
+    rows.write.partitionBy("k", "n").orc(str(tmp_path / "named"))
+    body = T._parse_datatype_string("id int")
+    got = read_slices(spark, str(tmp_path / "named"), {"k": None, "n": None}, body, {"n": "int"}, named=("k", "n"))
+    assert {(r.id, r.k, r.n) for r in got.collect()} == {(i, v, i) for i, v in enumerate(values)} | {(9, "n", None)}
+    for i, v in enumerate(["a b", "p=q", "1+1", "50%"]):
+        spark.createDataFrame([(i,)], "id int").write.orc(str(tmp_path / "plain" / v))
+    got = read_slices(spark, str(tmp_path / "plain"), {"k": None}, body)
+    assert [r.k for r in got.orderBy("id").collect()] == ["a b", "p=q", "1+1", "50%"]
+    assert read_slices(spark, str(tmp_path / "plain"), {"k": None}, body, {"k": "int"}).where("k IS NULL").count() == 4
+    with pytest.raises(Exception, match="is no int"):
+        read_slices(spark, str(tmp_path / "plain"), {"k": ["a b"]}, body, {"k": "int"}).collect()
 
 
 def test_day_table_to_partition_of_result_table(spark, sf_dir):

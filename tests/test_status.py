@@ -91,7 +91,6 @@ def test_pending_hours_span_whole_days(spark):
         ("ard/us/0/", (2018, 10, 12, 1), 1, None), ("derived_speed/us/0/", (2018, 10, 9, 23), 1, None),
         ("ard/us/1/", (2018, 10, 12, 1), 1, None), ("derived_speed/us/1/", (2018, 10, 12, 1), 1, None),
         ("ard/us/2/", (2018, 10, 12, 1), 1, None), ("derived_speed/us/2/", (2018, 10, 13, 1), 1, None),
-        ("ard/gb/0/", (2018, 10, 12, 1), 1, None),
     ])
     got = st.pending_hours(df).orderBy("time").collect()
     assert len(got) == 50 and {(r.country, r.stage) for r in got} == {("us", 0)}
@@ -99,6 +98,30 @@ def test_pending_hours_span_whole_days(spark):
     assert (got[0].y, got[0].m, got[0].d, got[0].h) == (2018, 10, 10, 0)
 
 
+def test_pending_hours_of_first_runs(spark):
+    df = log(spark, [
+        ("ard/gb/0/", (2018, 10, 12, 1), 1, None), ("ard/gb/0/", (2018, 10, 12, 3), 1, None),
+        ("ard/us/2/", (2018, 10, 12, 5), 1, None), ("derived_speed/us/2/", (2018, 10, 12, None), 1, None),
+        ("ard/us/0/", (2018, 10, 12, 5), 1, None), ("derived_speed/us/0/", (2018, 10, 12, 4), 1, None),
+        ("ard/us/0", (2018, 10, 12, 6), 1, None), ("derived_speed/us/0", (2018, 10, 12, 3), 1, None),
+        ("ard/us", (2018, 10, 12, 6), 1, None), ("ard/fr/1/", (2018, 10, 12, None), 1, None),
+    ])
+    got = sorted((r.country, r.stage, r.h) for r in st.pending_hours(df).collect())
+    assert got == [("gb", 0, 1), ("gb", 0, 2), ("gb", 0, 3), ("us", 0, 5), ("us", 0, 6), ("us", 2, 5)]
+
+
+def test_requests_with_a_hole_match_nothing(spark):
+    df = log(spark, [("k", (2017, 1, 22, 11), 3, None)])
+    got = {r.time: r.status for r in st.lookup(df, ask(spark, ("k", "2017/xx/22"), ("k", "2017/01"), ("k", ""))).collect()}
+    assert got == {"2017/xx/22": None, "2017/01": 3, "": 3}
+
+
+def test_ids_tell_rows_of_an_append_apart(spark):
+    events = spark.range(100, numPartitions=4).selectExpr("'k' AS key", "'2017/01/22/11' AS time")
+    rows = st.status_rows(events).collect()
+    assert len({r.id for r in rows}) == 100 and len({r.timestamp for r in rows}) == 1
+
+
 @pytest.mark.parametrize("zone", ["America/Los_Angeles", "Europe/London"])
 def test_hours_do_not_depend_on_the_session_zone(spark, zone):
     # 2018-03-11 02:00 does not exist in Los Angeles, 2018-03-25 01:00 not in London
