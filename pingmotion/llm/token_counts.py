@@ -95,6 +95,8 @@ def token_counts(docs: DataFrame, vocabulary: str, cache: str) -> DataFrame:
     fresh = wanted.select("digest", "text").mapInArrow(
         _encode(vocabulary.rsplit("/", 1)[-1], version), CACHE
     )
-    fresh.write.mode("append").parquet(cache)
+    # a repeated row is its digest's holder as often as it stands
+    once = fresh.groupBy("tokenizer", "digest").agg(F.min("n_tokens").alias("n_tokens"))
+    once.write.mode("append").parquet(cache)
     counts = read_cache(spark, cache).where(F.col("tokenizer") == version).select("digest", "n_tokens")
     return keyed.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens")
