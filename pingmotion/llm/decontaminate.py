@@ -9,7 +9,7 @@ for Hamming distance applies: each repetition draws a fresh walk and samples pla
 Windows. Place 0 of a walk is always among the samples. A window can thus only match where it
 starts with a word with which an indexed window starts, and others need no walk. Each item is
 indexed from several of its words, spread over its first two thirds, the ones that are rarest in
-the benchmark; so an edit at one start leaves the other starts. Every hit is verified: the item
+the benchmark and longest; so an edit at one start leaves the other starts. Every hit is verified: the item
 must fit somewhere in the text around the hit with at most ``EDIT_RATE`` edits per item word.
 """
 
@@ -95,20 +95,23 @@ class Index:
     def __init__(self, items: list[tuple[int, str]]) -> None:
         texts = pa.array([text for _, text in items], pa.large_string())
         sequences: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
         for _, _, data, offsets in W.pieces(texts):
-            hashes, ptr, _, _ = word_sequence(data, offsets)
+            hashes, ptr, starts, ends = word_sequence(data, offsets)
             sequences += [hashes[a:b] for a, b in zip(ptr, ptr[1:])]
+            sizes += [(ends - starts)[a:b] for a, b in zip(ptr, ptr[1:])]
         self.ids = [item for item, _ in items]
         self.sequences = sequences
         often = Counter(int(h) for s in sequences for h in set(s.tolist()))
         keys, owners, offsets_ = [], [], []
         for number, seq in enumerate(sequences):
-            # windows keep at least a third of the item; of each stretch of it, the rarest word
+            # windows keep at least a third of the item; of each stretch of the rest the rarest
+            # word, and of equally rare ones the longest, which texts are the least likely to hold
             usable = max(len(seq) - len(seq) // 3, min(len(seq), 1))
             picks = set()
             for part in np.array_split(np.arange(usable), min(STARTS, usable) or 1):
                 if len(part):
-                    picks.add(int(min(part, key=lambda i: (often[int(seq[i])], i))))
+                    picks.add(int(min(part, key=lambda i: (often[int(seq[i])], -sizes[number][i], i))))
             at = np.array(sorted(picks), np.int64)
             if len(at):
                 found = walk_keys(seq, at, np.full(len(at), len(seq)))
