@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +35,7 @@ from pingmotion.operators.trajectory import (
     with_segments,
     with_turn_angle,
 )
-from pingmotion.plans.catchup import backfill, catch_up, hour_range
+from pingmotion.plans.catchup import backfill, catch_up, hour_range, replace_runs
 from pingmotion.plans.context import context_speed
 from pingmotion.plans.motion import (
     as_stored,
@@ -135,6 +135,32 @@ def context_hours(spark, sf_dir):
     return answered.select("country", "request_id", *RESULT_KEYS, _r("dspd"), _r("angle"))
 
 
+def context_hours_target(spark, sf_dir):
+    """One hour with its neighbours in sight; only the directories of the three are read."""
+    stored = _stored_pings(spark, sf_dir)
+    answered = context_speed(stored, offset=1, target=datetime(2024, 1, 1, 9))
+    return answered.select("country", "request_id", *RESULT_KEYS, _r("dspd"), _r("angle"))
+
+
+def positional_slices(spark, sf_dir):
+    """Directories that hold bare values: country / isFilled / confScore."""
+    path = new_folder(spark, "positional")
+    pings = inputs.request_pings(spark, sf_dir)
+    levels = {"country": ["us", "gb"], "isFilled": ["fill", "nf"], "confScore": None}
+    for country in levels["country"]:
+        for filled in levels["isFilled"]:
+            for score in ("pos", "rest", "tll"):
+                here = (
+                    (F.col("country") == country)
+                    & (F.col("isFilled") == filled)
+                    & (F.col("confScore") == score)
+                )
+                pings.where(here).drop(*levels).write.orc(f"{path}/{country}/{filled}/{score}")
+    body = T.StructType([f for f in PINGS if f.name not in levels])
+    read = read_slices(spark, path, levels, body)
+    return read.select("request_id", "uid", "stage", *levels)
+
+
 # gates
 
 
@@ -331,6 +357,22 @@ def catch_up_query(spark, sf_dir):
     return _decoded(read_partitioned(spark, output, RESULTS))
 
 
+def pending_first_runs(spark, sf_dir):
+    """Places without any result, and with daily results only."""
+    return st.pending_hours(inputs.first_runs_log(spark, sf_dir))
+
+
+def replay_hour(spark, sf_dir):
+    """All hours, then hour 9 again after some of its requests were filed under another grade."""
+    pings, output = inputs.request_pings(spark, sf_dir), new_folder(spark, "results")
+    hours = pings.select("country", "stage", "y", "m", "d", "h").distinct()
+    replace_runs(pings, hours, output)
+    moved = F.when(F.expr("request_id % 7 = 0"), "moved").otherwise(F.col("confScore"))
+    again = pings.where("h = 9").withColumn("confScore", moved)
+    replace_runs(again, hours.where("h = 9"), output)
+    return _decoded(read_partitioned(spark, output, RESULTS))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "orc_roundtrip": orc_roundtrip,
     "hour_slice": hour_slice_query,
@@ -363,4 +405,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "status_head": status_head,
     "status_append": status_append,
     "catch_up": catch_up_query,
+    "context_hours_target": context_hours_target,
+    "positional_slices": positional_slices,
+    "pending_first_runs": pending_first_runs,
+    "replay_hour": replay_hour,
 }

@@ -155,3 +155,11 @@ def hour_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrived = runs.selectExpr(*rows("ard/"))
     finished = runs.where("h <= 8 + stage % 3").selectExpr(*rows("derived_speed/"))
     return arrived.unionByName(finished)
+
+
+def first_runs_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``hour_log`` before anything ran in gb, and with daily results only for us stage 2."""
+    log = hour_log(spark, sf_dir)
+    done = "key NOT LIKE 'derived_speed/gb/%'"
+    daily = "CASE WHEN key = 'derived_speed/us/2/' THEN null ELSE hour END AS hour"
+    return log.where(done).selectExpr(*[daily if c == "hour" else c for c in log.columns])

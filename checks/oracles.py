@@ -254,4 +254,20 @@ union all select key, year, month, day, hour, 1, null from asked""",
 where exists (
   select 1 from (select country as c, stage as s, max(h) as last from pings group by all) x
   where x.c = res.country and x.s = res.stage and res.h > 8 + res.stage % 3 and res.h <= x.last)""",
+    "context_hours_target": f"select * from ({CONTEXT}) where h = 9",
+    "positional_slices": f"""with {PINGS}
+select request_id, uid, stage, country, "isFilled", "confScore" from pings""",
+    "pending_first_runs": f"""with {PINGS},
+place as (
+  select country, stage, min(h) as lo, max(h) as hi, 8 + stage % 3 as last from pings group by all),
+hour as (
+  select country, stage, unnest(range(
+    case when country = 'gb' or stage = 2 then lo
+      else greatest(least(last, (select max(h) from pings p where p.country = place.country
+        and p.stage = place.stage and p.h <= last)) + 1, lo) end, hi + 1)) as h from place)
+select country, stage, 2024 as y, 1 as m, 1 as d, cast(h as int) as h,
+  '2024-01-01-' || lpad(cast(h as varchar), 2, '0') as time from hour""",
+    "replay_hour": ALL_RESULTS
+    + f"""select * replace (case when h = '09' and request_id % 7 = 0 then 'moved' else "confScore" end as "confScore")
+from ({AS_STORED})""",
 }
