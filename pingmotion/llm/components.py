@@ -23,6 +23,14 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return hung.union(least.select("u", F.col("m").alias("v")))
 
 
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every node hangs on one node that hangs on none."""
+    roots = edges.groupBy("u").agg(F.count("*").alias("n"), F.min("v").alias("v"))
+    under = edges.select(F.col("u").alias("v")).distinct()
+    wrong = roots.where("n > 1").select("v").union(roots.join(under, "v", "left_semi").select("v"))
+    return wrong.limit(1).count() == 0
+
+
 def components(links: DataFrame, first: str, second: str) -> DataFrame:
     """``(node, component)`` for every node but the smallest of each component, which is its name.
 
@@ -36,15 +44,6 @@ def components(links: DataFrame, first: str, second: str) -> DataFrame:
         "edges",
     )
 
-    def state(df: DataFrame) -> tuple:
-        # the order-free sum wraps nowhere: 32-bit hashes in a decimal
-        return tuple(df.agg(F.count("*"), F.sum(F.hash("u", "v").cast("decimal(38,0)"))).first())
-
-    before = state(edges)
-    while before[0]:
-        edges = stored(_small_star(_large_star(edges).distinct()).distinct(), "edges")
-        after = state(edges)
-        if after == before:
-            break
-        before = after
+    while not _all_stars(edges):
+        edges = stored(_small_star(_large_star(edges)).distinct(), "edges")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
