@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from checks.catalogue import QUERIES
+from checks.oracles import ORACLES
 
 from .verify_oracles import compare, duck
 
@@ -15,10 +17,11 @@ def con(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert sorted(queries()) == sorted(oracle_sql())
+    assert sorted(QUERIES) == sorted(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, sf_dir, name):
     assert compare(spark, con, name, sf_dir) is None
 
