@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from . import words as W
 from .components import components
-from .tables import bitmap, marked, stored
+from .tables import bitmap, marked, small_batches, stored
 
 SHINGLE_WORDS = 5
 PER_CHUNK = 5
@@ -305,15 +305,8 @@ def _links_in_blocks(docs: DataFrame, members: DataFrame, chunks: int, percent:
     return work.groupBy("duty").applyInPandas(run, "node long, component long")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` per row of ``docs(doc_id, text, ...)``.
-
-    ``component_id`` is the smallest doc_id that links reach, itself included; ``kept`` marks that
-    document. Null and empty texts, and texts of white space, have an empty set and stand alone.
-    Rows without doc_id have no component and are kept. Repeated rows of one doc_id are one
-    document and each is returned; if their texts differ, each text is linked under that id. Other
-    columns are not looked at. An empty table gives an empty result.
-    """
+def _grouped(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Signatures of all rows, the distinct sets, and the components of linked sets."""
     similarity = percent / 100
     chunks = chunks_needed(similarity)
     rows = stored(signatures(docs, chunks), "signatures")
@@ -341,6 +334,20 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     if apart.limit(1).count():
         late = stored(_links_in_blocks(docs, apart, chunks, percent), "late")
         groups = components(groups.union(late), "node", "component")
+    return rows, sets, groups
+
+
+def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` per row of ``docs(doc_id, text, ...)``.
+
+    ``component_id`` is the smallest doc_id that links reach, itself included; ``kept`` marks that
+    document. Null and empty texts, and texts of white space, have an empty set and stand alone.
+    Rows without doc_id have no component and are kept. Repeated rows of one doc_id are one
+    document and each is returned; if their texts differ, each text is linked under that id. Other
+    columns are not looked at. An empty table gives an empty result.
+    """
+    with small_batches(docs.sparkSession):
+        rows, sets, groups = _grouped(docs, percent)
     # documents with the set of a representative, and the representative's component
     named = sets.join(groups, F.col("rep") == F.col("node"), "left").select(
         "d1", "d2", "n_shingles", F.coalesce("component", "rep").alias("set_component")
