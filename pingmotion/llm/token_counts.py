@@ -12,6 +12,7 @@ in the grouping and meets one cache row in the final join, which adaptive execut
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -19,11 +20,11 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import stored
+from .tables import small_batches, stored
 
 CACHE = "tokenizer string, digest string, n_tokens long"
 #: texts encoded in one call, in characters; longer texts go alone
-CALL_CHARS = 1 << 18
+CALL_CHARS = 1 << 16
 
 
 def tokenizer_version(path: str) -> str:
@@ -44,6 +45,8 @@ def read_cache(spark, cache: str | None) -> DataFrame:
 
 def _encode(vocabulary: str, version: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Spark spreads the work; threads of the library would only add memory
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(SparkFiles.get(vocabulary))
@@ -97,6 +100,7 @@ def token_counts(docs: DataFrame, vocabulary: str, cache: str) -> DataFrame:
     )
     # a repeated row is its digest's holder as often as it stands
     once = fresh.groupBy("tokenizer", "digest").agg(F.min("n_tokens").alias("n_tokens"))
-    once.write.mode("append").parquet(cache)
+    with small_batches(spark, 500):
+        once.write.mode("append").parquet(cache)
     counts = read_cache(spark, cache).where(F.col("tokenizer") == version).select("digest", "n_tokens")
     return keyed.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens")
