@@ -1,16 +1,19 @@
 """Personal data: base patterns, and terms that disclose them by corpus co-occurrence.
 
 Base spans are emails, addresses, cards and phones by fixed patterns. Each distinct value is a
-protected entity. A term (a run of letters) in the context of an entity discloses it as far as their
+protected entity. A term (a run of letters outside base spans) discloses an entity as far as their
 pointwise mutual information comes up to the information content of the entity:
 ``PMI(t; e) = log(N n(t,e) / (n(t) n(e)))`` against ``IC(e) = log(N / n(e))``, with counts of
 documents over the whole corpus. At the full content the term never occurs without the entity. Terms
-at or above the share ``SHARE`` with at least ``SUPPORT`` common documents are spans as well.
+at or above the share ``SHARE`` with at least ``SUPPORT`` common documents are spans as well, wherever
+they stand: far from the entity, and in documents without it. An entity in fewer than ``SUPPORT``
+documents has no terms.
 
 All of it is DataFrame functions. Offsets are code points: a pattern's matches are fenced with a
 private-use character, the text is split at the fences and the lengths are summed. The corpus counts
-of terms run over all documents; terms that are nobody's context are dropped inside the scan by a
-bitmap of fixed size, so only candidates are shuffled, after pre-aggregation.
+of terms run over all documents; terms that cannot come up to the share are dropped inside the scans
+by bitmaps of fixed size, so only candidates are shuffled. As ``n(t,e) <= n(e)``, a term of more than
+``n(e) (N / n(e)) ** (1 - SHARE)`` documents cannot disclose ``e``; only the others are paired with it.
 """
 
 from __future__ import annotations
@@ -21,8 +24,9 @@ from pyspark.sql import functions as F
 from .tables import bitmap, marked, stored
 
 SHARE, SUPPORT = 0.9, 3
-#: code points on either side of a span that are its context; shortest term
-CONTEXT, TERM_LETTERS = 64, 4
+#: shortest term
+TERM_LETTERS = 4
+TERM_PATTERN = rf"\p{{L}}{{{TERM_LETTERS},}}"
 FENCE, STAND_IN = "\ue000", "\ue001"
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -54,11 +58,15 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def _matches(text: Column, pattern: str, shift: Column, keep) -> Column:
+def _matches(text: Column, pattern: str, keep) -> Column:
     """``array<struct<start, end, value>>`` of the matches that ``keep``; ``text`` has no fence."""
-    parts = F.split(F.regexp_replace(text, pattern, f"{FENCE}$0{FENCE}"), FENCE)
-    fold = F.aggregate(
-        parts,
+    return _fenced(F.regexp_replace(text, pattern, f"{FENCE}$0{FENCE}"), keep)
+
+
+def _fenced(text: Column, keep) -> Column:
+    """``array<struct<start, end, value>>`` of the fenced stretches that ``keep``."""
+    return F.aggregate(
+        F.split(text, FENCE),
         F.struct(
             F.lit(0).alias("at"),
             F.lit(False).alias("hit"),
@@ -79,10 +87,6 @@ def _matches(text: Column, pattern: str, shift: Column, keep) -> Column:
         ),
         lambda s: s["found"],
     )
-    return F.transform(
-        fold,
-        lambda s: F.struct((s["start"] + shift).alias("start"), (s["end"] + shift).alias("end"), s["value"].alias("value")),
-    )
 
 
 def base_spans(text: Column) -> Column:
@@ -92,7 +96,7 @@ def base_spans(text: Column) -> Column:
 
     def of(number: int, kind: str) -> Column:
         hint = text.contains(_WORTH_A_LOOK[kind]) if kind in _WORTH_A_LOOK else text.rlike("[0-9]")
-        found = _matches(clean, PATTERNS[kind], F.lit(0), lambda x: F.coalesce(_valid(kind, x), F.lit(False)))
+        found = _matches(clean, PATTERNS[kind], lambda x: F.coalesce(_valid(kind, x), F.lit(False)))
         named = F.transform(
             found,
             lambda s: F.struct(
@@ -109,27 +113,28 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*every))
 
 
-def _context(text: Column, spans: Column) -> Column:
-    """``array<struct<entity, term, start, end>>``: terms wholly inside the context of each span
-    and outside all spans."""
+def _outside(text: Column) -> Column:
+    """The text with emails, the only base spans with letters, blanked at their length."""
+    clean = F.translate(text, FENCE, STAND_IN)
+    parts = F.split(F.regexp_replace(clean, PATTERNS["email"], f"{FENCE}$0{FENCE}"), FENCE)
+    blank = F.transform(parts, lambda x, i: F.when(i % 2 == 1, F.repeat(F.lit(STAND_IN), F.length(x))).otherwise(x))
+    return F.when(text.contains(_WORTH_A_LOOK["email"]), F.array_join(blank, "")).otherwise(clean)
 
-    def around(s: Column) -> Column:
-        lo = F.greatest(s["start"] - CONTEXT, F.lit(0))
-        before, behind = text.substr(lo + 1, s["start"] - lo), text.substr(s["end"] + 1, F.lit(CONTEXT))
-        pattern = rf"(?<!\p{{L}})\p{{L}}{{{TERM_LETTERS},}}"
-        everything = lambda x: F.lit(True)
-        left = F.filter(_matches(before, pattern, lo, everything), lambda t: (t["start"] > lo) | (lo == 0))
-        right = F.filter(
-            _matches(behind, pattern, s["end"], everything),
-            lambda t: (t["end"] < s["end"] + CONTEXT) & (t["start"] > s["end"]),
-        )
-        entity = F.concat(s["kind"], F.lit(":"), F.lower(s["value"]))
-        return F.transform(
-            F.filter(F.concat(left, right), lambda t: ~F.exists(spans, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))),
-            lambda t: F.struct(entity.alias("entity"), F.lower(t["value"]).alias("term"), t["start"].alias("start"), t["end"].alias("end")),
-        )
 
-    return F.flatten(F.transform(spans, around))
+def _terms(outside: Column) -> Column:
+    """The distinct terms of a text, folded."""
+    found = F.array_distinct(F.regexp_extract_all(outside, F.lit(f"({TERM_PATTERN})"), F.lit(1)))
+    return F.array_distinct(F.transform(found, F.lower))
+
+
+def _marked_terms(outside: Column, bits: Column) -> Column:
+    """``array<struct<start, end, value>>`` of every occurrence of a term that ``bits`` may hold."""
+    parts = F.split(F.regexp_replace(outside, TERM_PATTERN, f"{FENCE}$0{FENCE}"), FENCE)
+    fenced = F.transform(
+        parts,
+        lambda x, i: F.when((i % 2 == 1) & marked(bits, F.lower(x)), F.concat(F.lit(FENCE), x, F.lit(FENCE))).otherwise(x),
+    )
+    return _fenced(F.array_join(fenced, ""), lambda x: F.lit(True))
 
 
 def private_spans(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -142,59 +147,70 @@ def private_spans(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """
     keep = keep or ["doc_id"]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    found = docs.select(
-        *[F.col(c).alias(f"k_{i}") for i, c in enumerate(keep)],
-        text.alias("t"),
-    ).select("*", base_spans(F.col("t")).alias("base"))
-    none = F.expr("cast(array() AS array<struct<entity:string,term:string,start:int,end:int>>)")
-    near = F.when(
-        F.size("base") > 0, _context(F.translate(F.col("t"), FENCE, STAND_IN), F.col("base"))
-    ).otherwise(none)
+    names = [f"k_{i}" for i in range(len(keep))]
+    own = [] if "text" in keep else [F.col("text").cast("string").alias("t")]
     rows = stored(
-        found.select(
-            *[f"k_{i}" for i in range(len(keep))], "base", near.alias("near"), F.monotonically_increasing_id().alias("row")
+        docs.select(*[F.col(c).alias(k) for c, k in zip(keep, names)], *own, base_spans(text).alias("base")).withColumn(
+            "row", F.monotonically_increasing_id()
         ),
         "spans",
     )
-    holding = rows.where(F.size("base") > 0)
-    entities = (
-        holding.select(
-            F.explode(F.array_distinct(F.transform("base", lambda s: F.concat(s["kind"], F.lit(":"), F.lower(s["value"]))))).alias("entity")
-        )
-        .groupBy("entity")
-        .agg(F.count("*").alias("n_e"))
-        .where(f"n_e >= {SUPPORT}")
-    )
-    joint = (
-        holding.select(
-            F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term"))))).alias("p")
-        )
-        .groupBy("p.entity", "p.term")
-        .agg(F.count("*").alias("n_te"))
-        .where(f"n_te >= {SUPPORT}")
+    stored_text = F.col(names[keep.index("text")] if "text" in keep else "t").cast("string")
+    outside = _outside(F.coalesce(stored_text, F.lit("")))
+    total = float(max(rows.count(), 1))
+
+    named = F.array_distinct(F.transform("base", lambda s: F.concat(s["kind"], F.lit(":"), F.lower(s["value"]))))
+    held = rows.where(F.size("base") > 0).select("row", F.explode(named).alias("entity"))
+    entities = held.groupBy("entity").agg(F.count("*").alias("n_e")).where(f"n_e >= {SUPPORT}")
+    # the most documents that a disclosing term of the entity can have, and a little for rounding
+    most = F.col("n_e") * F.pow(F.lit(total) / F.col("n_e"), F.lit(1 - SHARE)) * 1.000001
+    entities = stored(entities.withColumn("most", most), "entities")
+    # a row's entities are folded to one array, so that a pair is only made where it may count
+    holding = stored(
+        held.join(entities, "entity").groupBy("row").agg(F.collect_list(F.struct("entity", "n_e", "most")).alias("entities")),
+        "holding",
+    )
+    held_terms = stored(
+        rows.where(F.size("base") > 0).join(holding.select("row"), "row", "left_semi").select("row", F.explode(_terms(outside)).alias("term")),
+        "held-terms",
     )
-    joint = stored(joint.join(entities, "entity"), "joint")
-    terms = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(rf"\p{{L}}{{{TERM_LETTERS},}}"), F.lit(0)))
-    wanted = joint.select("term").distinct()
-    counted = (
-        docs.select(terms.alias("terms"))
-        .withColumn("bits", bitmap(wanted, "term").scalar())
-        .select(F.explode("terms").alias("term"), "bits")
-        .where(marked(F.col("bits"), F.col("term")))
+    often = held_terms.groupBy("term").agg(F.count("*").alias("n")).where(f"n >= {SUPPORT}").select("term")
+    highest = entities.agg(F.max("most")).scalar()
+    counted = stored(
+        rows.select(_terms(outside).alias("terms"))
+        .withColumn("bits", bitmap(often, "term").scalar())
+        .select(F.explode(F.filter("terms", lambda x: marked(F.col("bits"), x))).alias("term"))
         .groupBy("term")
         .agg(F.count("*").alias("n_t"))
+        .where((F.col("n_t") >= SUPPORT) & (F.col("n_t") <= highest)),
+        "terms",
     )
-    total = max(rows.count(), 1)
-    content = F.log(F.lit(float(total)) / F.col("n_e"))
-    shared = F.log(F.col("n_te") * F.lit(float(total)) / (F.col("n_t") * F.col("n_e")))
-    risky = joint.join(counted, "term").where(shared >= SHARE * content).select("entity", "term")
+    near = (
+        held_terms.withColumn("bits", bitmap(counted, "term").scalar())
+        .where(marked(F.col("bits"), F.col("term")))
+        .select("row", "term")
+        .join(counted, "term")
+        .join(holding, "row")
+    )
+    joint = (
+        near.select("term", "n_t", F.explode(F.filter("entities", lambda e: F.col("n_t") <= e["most"])).alias("e"))
+        .groupBy("e.entity", "term")
+        .agg(F.count("*").alias("n_te"), F.first("n_t").alias("n_t"), F.first("e.n_e").alias("n_e"))
+        .where(f"n_te >= {SUPPORT}")
+    )
+    content = F.log(F.lit(total) / F.col("n_e"))
+    shared = F.log(F.col("n_te") * F.lit(total) / (F.col("n_t") * F.col("n_e")))
+    risky = stored(joint.where(shared >= SHARE * content).select("term").distinct(), "risky")
+
     hits = (
-        holding.select("row", F.explode("near").alias("n"))
-        .select("row", "n.entity", "n.term", "n.start", "n.end")
-        .join(risky, ["entity", "term"])
+        rows.select("row", outside.alias("t"))
+        .withColumn("bits", bitmap(risky, "term").scalar())
+        .select("row", F.explode(_marked_terms(F.col("t"), F.col("bits"))).alias("n"))
+        .select("row", F.lower("n.value").alias("term"), "n.start", "n.end")
+        .join(risky, "term")
         .groupBy("row")
         .agg(
-            F.collect_set(
+            F.collect_list(
                 F.struct(
                     "start", F.lit(len(KINDS)).alias("kind_no"), F.lit(TERM).alias("kind"), "end", F.col("term").alias("value")
                 )
@@ -202,8 +218,8 @@ def private_spans(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
         )
     )
     whole = F.when(F.col("more").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "more")))
-    return rows.join(hits, "row", "left").select(
-        *[F.col(f"k_{i}").alias(c) for i, c in enumerate(keep)], "base", whole.alias("spans")
+    return rows.select("row", "base", *names).join(hits, "row", "left").select(
+        *[F.col(k).alias(c) for c, k in zip(keep, names)], "base", whole.alias("spans")
     )
 
 

@@ -254,6 +254,23 @@ def test_disclosing_terms(spark):
             assert not r["spans"] and r["clean"] == r["text"]
 
 
+def test_disclosing_terms_anywhere(spark):
+    """A name far from the address discloses it, and is marked everywhere, also without the address."""
+    far = lambda i: " ".join(prose(120, 700 + i))
+    rows = [(i, f"Quimby {far(i)} reach us at boss@firm.com, says QUIMBY") for i in range(6)]
+    rows += [(i, f"Dear Vandermeer, {far(i)} boss@firm.com") for i in range(6, 10)]
+    rows += [(10, f"{far(10)} Vandermeer alone and again vandermeer"), (11, "vandermeer@else.org only")]
+    rows += [(100 + i, far(100 + i) + " reach us, says dear") for i in range(5000)]
+    found = pii.private_spans(table(spark, rows), ["doc_id", "text"]).where("doc_id < 12 OR size(spans) > 0").collect()
+    assert {r["doc_id"] for r in found} == set(range(12))
+    for r in found:
+        terms = [s for s in r["spans"] if s["kind"] == "term"]
+        assert all(r["text"][s["start"] : s["end"]].lower() == s["value"] for s in terms)
+        name = "quimby" if r["doc_id"] < 6 else "vandermeer"
+        times = {10: 2, 11: 0}.get(r["doc_id"], 2 if r["doc_id"] < 6 else 1)
+        assert [s["value"] for s in terms] == [name] * times
+
+
 def test_private_spans_edges(spark, docs):
     got = pii.private_spans(docs, docs.columns)
     assert sorted(map(key, got.select(*docs.columns).collect())) == sorted(map(key, docs.collect()))
