@@ -11,6 +11,10 @@ starts with a word with which an indexed window starts, and others need no walk.
 indexed from several of its words, spread over its first two thirds, the ones that are rarest in
 the benchmark and longest; so an edit at one start leaves the other starts. Every hit is verified: the item
 must fit somewhere in the text around the hit with at most ``EDIT_RATE`` edits per item word.
+
+A document window runs on where an item's window ends, so walks of few words seldom agree. Items of
+fewer than ``SHORT`` words, which at ``EDIT_RATE`` may have no edits, are found by a hash of their
+whole word sequence instead, each without fail. The target for longer items is 99.9 percent.
 """
 
 from __future__ import annotations
@@ -31,6 +35,8 @@ EDIT_RATE = 0.1
 STARTS, REPEATS = 8, 12
 #: each repetition samples a place of each of these ranges of a walk, beside place 0
 RANGES = ((2, 6), (6, 9), (9, 13))
+#: items of fewer words are looked up by their whole sequence
+SHORT = 10
 #: items scanned for at once; larger benchmarks take several passes
 BLOCK_ITEMS = 20_000
 TABLE_BITS = 22
@@ -67,6 +73,19 @@ def walk_keys(seq: np.ndarray, at: np.ndarray, stop: np.ndarray) -> np.ndarray:
     return keys
 
 
+def _sequence_keys(
+    seq: np.ndarray, at: np.ndarray, stop: np.ndarray, longest: int
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each length up to ``longest`` the keys of the runs of so many words that start at ``at``
+    and end by ``stop``, and their places in ``at``."""
+    there, keys = np.arange(len(at)), np.zeros(len(at), np.uint64)
+    for n in range(1, longest + 1):
+        fits = at[there] + n <= stop[there]
+        there = there[fits]
+        keys = W.mix(keys[fits] * _U(1000003) + seq[at[there] + n - 1])
+        yield n, keys, there
+
+
 def edits_within(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     """Fewest word edits that turn ``item`` into some stretch of ``text``, and the stretch."""
     n = len(text)
@@ -90,9 +109,9 @@ def edits_within(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
 
 
 class Index:
-    """The windows of a block of items."""
+    """The windows of a block of items, and the whole sequences of the short ones."""
 
-    def __init__(self, items: list[tuple[int, str]]) -> None:
+    def __init__(self, items: list[tuple[int, str]], rate: float = EDIT_RATE) -> None:
         texts = pa.array([text for _, text in items], pa.large_string())
         sequences: list[np.ndarray] = []
         sizes: list[np.ndarray] = []
@@ -102,9 +121,12 @@ class Index:
             sizes += [(ends - starts)[a:b] for a, b in zip(ptr, ptr[1:])]
         self.ids = [item for item, _ in items]
         self.sequences = sequences
+        self._index_short()
         often = Counter(int(h) for s in sequences for h in set(s.tolist()))
         keys, owners, offsets_ = [], [], []
         for number, seq in enumerate(sequences):
+            if len(seq) < SHORT and int(rate * len(seq)) == 0:
+                continue
             # windows keep at least a third of the item; of each stretch of the rest the rarest
             # word, and of equally rare ones the longest, which texts are the least likely to hold
             usable = max(len(seq) - len(seq) // 3, min(len(seq), 1))
@@ -130,6 +152,41 @@ class Index:
         self.may_hit = np.zeros(1 << TABLE_BITS, bool)
         self.may_hit[self.key >> _U(64 - TABLE_BITS)] = True
 
+    def _index_short(self) -> None:
+        by_length: dict[int, dict[int, list[int]]] = {}
+        for number, seq in enumerate(self.sequences):
+            if 0 < len(seq) < SHORT:
+                *_, (_, keys, _) = _sequence_keys(seq, np.zeros(1, np.int64), np.full(1, len(seq)), len(seq))
+                by_length.setdefault(len(seq), {}).setdefault(int(keys[0]), []).append(number)
+        #: per length the sorted keys and the items of each
+        self.short = {}
+        for n, items in by_length.items():
+            keys = np.array(sorted(items), np.uint64)
+            self.short[n] = keys, [items[int(k)] for k in keys]
+        first = [s[0] for s in self.sequences if 0 < len(s) < SHORT]
+        self.short_first = np.unique(np.array(first, np.uint64))
+        self.may_start_short = np.zeros(1 << TABLE_BITS, bool)
+        self.may_start_short[self.short_first >> _U(64 - TABLE_BITS)] = True
+
+    def verbatim(self, seq: np.ndarray, ptr: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """``(text, item number, place in seq)`` of the first unchanged copy of each short item in each text."""
+        if not self.short or not len(seq):
+            return
+        at = np.flatnonzero(self.may_start_short[seq >> _U(64 - TABLE_BITS)])
+        at = at[np.isin(seq[at], self.short_first)]
+        text = W.text_of_word(ptr)[at]
+        for n, keys, there in _sequence_keys(seq, at, ptr[1:][text], max(self.short)):
+            if n not in self.short:
+                continue
+            known, items = self.short[n]
+            slot = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+            found = np.flatnonzero(known[slot] == keys)
+            pairs = text[there[found]] * len(known) + slot[found]
+            for k in np.unique(pairs, return_index=True)[1]:
+                i = there[found[k]]
+                for number in items[slot[found[k]]]:
+                    yield int(text[i]), number, int(at[i])
+
     def hits(self, seq: np.ndarray, ptr: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """``(text, item number, place in seq where the item would start)``, each once."""
         if not len(self.first) or not len(seq):
@@ -161,12 +218,14 @@ def _scan(docs: DataFrame, items: list[tuple[int, str]], rate: float) -> DataFra
     shared = docs.sparkSession.sparkContext.broadcast(items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(shared.value)
+        index = Index(shared.value, rate)
         for batch in batches:
             ids = batch["doc_id"].to_pylist()
             for first, _, data, offsets in W.pieces(batch["text"]):
                 seq, ptr, starts, ends = word_sequence(data, offsets)
                 best: dict[tuple[int, int], tuple[int, int, int]] = {}
+                for text, number, place in index.verbatim(seq, ptr):
+                    best[text, number] = 0, place, place + len(index.sequences[number])
                 for text, number, place in index.hits(seq, ptr):
                     item = index.sequences[number]
                     allowed = int(rate * len(item))

@@ -377,6 +377,31 @@ def test_leaks(spark, docs, monkeypatch):
     assert decontaminate.leaks(all_docs, bench.limit(0)).count() == 0
 
 
+def test_short_leaks(spark):
+    """Items of any length are found inside longer texts, each once at its first place; a changed or cut copy of a
+    short item, or one that runs over the end of a text, is none."""
+    items = [(n, " ".join(f"item{n}w{i}" for i in range(n))) for n in range(1, 13)] + [(50, "item3w0 item3w1 item3w2"), (51, "twice twice")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    there = []
+    for n, text in items[:12]:
+        there.append((n, " ".join(prose(20, n)) + f" {text.upper().replace(' ', ', ')}. {text} " + " ".join(prose(20, 60 + n))))
+        if 1 < n < 10:
+            there.append((100 + n, " ".join(prose(20, n) + text.split()[:-1] + ["other"] + prose(20, 60 + n))))
+            there.append((200 + n, " ".join(prose(20, n) + text.split()[:-1])))
+            there.append((300 + n, text.split()[-1]))
+    there += [(400, "twice twice twice"), (401, "twice")]
+    got = decontaminate.leaks(table(spark, there), bench).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in got) == sorted([(n, n) for n in range(1, 13)] + [(3, 50), (400, 51)])
+    texts = dict(there)
+    for r in got:
+        want = dict(items)[r["item_id"]].split()
+        found = texts[r["doc_id"]][r["start"] : r["end"]]
+        assert found.lower().replace(",", "").split() == want and texts[r["doc_id"]].index(found) == r["start"]
+        assert (r["edits"], r["item_words"]) == (0, len(want)) and (r["doc_id"] == 400 or found.isupper())
+    loose = decontaminate.leaks(table(spark, there), bench, 0.4).collect()  # edits in short items take nothing away
+    assert {(r["doc_id"], r["item_id"]) for r in got} <= {(r["doc_id"], r["item_id"]) for r in loose}
+
+
 # urls
 
 
