@@ -15,6 +15,7 @@ import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
 from pingmotion.llm import bpe, catalogue, decontaminate, near_dedup, pii, quality, token_counts, topk, toxicity, urls, warc
 from pingmotion.llm.components import components
+from pingmotion.llm.linear import labelled_sample
 from pingmotion.sources.scratch import new_folder
 from tests.verify_oracles import compare, duck
 
@@ -187,6 +188,14 @@ def test_trained_operators_edges(spark, docs, labels, module, score):
     assert score(docs, none).count() == docs.count() and score(docs.limit(0), none).count() == 0
 
 
+def test_sample_has_one_row_per_id(spark):
+    docs = table(spark, [(i % 7, f"text {i}") for i in range(400)] + [(0, f"busy {i}") for i in range(400)])
+    labels = spark.createDataFrame([(i % 7, i % 2) for i in range(50)], "doc_id long, quality int")
+    held = -1  # no fold
+    got = labelled_sample(docs, labels, "quality", 5, held, 1000).select("doc_id", "text", "y").collect()
+    assert sorted((r["doc_id"], r["text"], r["y"]) for r in got) == [(0, "busy 0", 0)] + [(i, f"text {min(f'{j}' for j in range(i, 400, 7))}", 0) for i in range(1, 7)]
+
+
 def test_toxic_offsets(spark):
     rng = random.Random(4)
     rows = [(i, " ".join(prose(40, i) + (["scumbag"] if i % 2 else []) + prose(5, -i))) for i in range(400)]
