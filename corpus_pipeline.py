@@ -41,10 +41,19 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage."""
+    """Documents without a benchmark passage; rows without doc_id are judged one by one."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     leaking = stored(decontaminate.leaks(docs, benchmark).select("doc_id").distinct(), "leaking")
-    return docs.join(leaking, "doc_id", "left_anti").select(*docs.columns)
+    named = docs.join(leaking, "doc_id", "left_anti").select(*docs.columns)
+    if not leaking.where("doc_id IS NULL").limit(1).count():
+        return named
+    # a null id never joins: such rows get a number of their own, written so that it stays
+    nameless = docs.where("doc_id IS NULL").withColumn("__row", F.monotonically_increasing_id())
+    nameless = stored(nameless, "nameless")
+    found = decontaminate.leaks(nameless.select(F.col("__row").alias("doc_id"), "text"), benchmark)
+    found = stored(found.select(F.col("doc_id").alias("__row")).distinct(), "leaking-nameless")
+    clean = nameless.join(found, "__row", "left_anti").select(*docs.columns)
+    return named.where("doc_id IS NOT NULL").unionByName(clean)
 
 
 def generalise_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

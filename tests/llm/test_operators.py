@@ -454,6 +454,14 @@ def test_stages(spark, docs, sf_dir):
     assert kept == {1, 2, 3, 4, 6, 7, 8, 11, 12, 13, 14, 15, None}
 
 
+def test_leaks_of_rows_without_id(spark, sf_dir):
+    passage = spark.read.parquet(f"{sf_dir}/benchmark.parquet").where("length(text) > 50").orderBy("item_id").first()["text"]
+    rows = [(None, f"before {passage} after"), (None, "clean"), (None, None), (1, passage), (2, "clean"), (None, "clean")]
+    got = corpus_pipeline.drop_leaks(spark, table(spark, rows), sf_dir)
+    left = [(r["doc_id"], r["text"]) for r in got.collect()]
+    assert sorted(left, key=key) == sorted([(None, "clean"), (None, "clean"), (None, None), (2, "clean")], key=key)
+
+
 def test_pipeline_takes_effect(spark, sf_dir):
     sf = sf_dir
     rows = queries()["pipeline"](spark, sf).collect()
