@@ -8,7 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import new_folder
-from . import bpe, decontaminate, near_dedup, pii, quality, token_counts, topk, toxicity, urls, warc
+from . import (
+    bpe,
+    decontaminate,
+    exact_dedup,
+    merkle,
+    near_dedup,
+    oracles,
+    phrases,
+    pii,
+    quality,
+    token_counts,
+    topk,
+    toxicity,
+    urls,
+    warc,
+)
 from .linear import fold
 
 #: at this score or more a label of 1 is predicted
@@ -111,6 +126,18 @@ def op10_url_filter(spark, sf_dir):
     return seen.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_merkle_manifest(spark, sf_dir):
+    return merkle.manifest(_table(spark, sf_dir, "documents"))
+
+
+def op12_phrases(spark, sf_dir):
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_exact_duplicates(spark, sf_dir):
+    return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -124,6 +151,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc,
         op9_leaks,
         op10_url_filter,
+        op11_merkle_manifest,
+        op12_phrases,
+        op13_exact_duplicates,
     )
 }
 
@@ -141,4 +171,7 @@ ORACLES: dict[str, str] = {
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
           SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
         ) WHERE rank <= 5""",
+    "op11_merkle_manifest": oracles.MERKLE,
+    "op12_phrases": oracles.PHRASES,
+    "op13_exact_duplicates": oracles.EXACT,
 }

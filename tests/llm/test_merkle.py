@@ -1,0 +1,149 @@
+"""The Merkle manifest against trees built row by row, for several block sizes, and edge cases."""
+
+from __future__ import annotations
+
+import zlib
+from hashlib import sha256
+
+import pytest
+from pyspark.sql import functions as F
+
+from pingmotion.llm import merkle
+
+SCHEMA = (
+    "doc_id long, source string, lang string, n_chars long, text string,"
+    " tree string, place long, digest string, tampered string, part long, root string"
+)
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(*r, "t", 1, "d", "x", 2, "r") for r in rows], SCHEMA)
+
+
+def h(*parts):
+    return sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf(row, text):
+    return h(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in (*row[:4], text)])
+
+
+def levels(nodes):
+    out = [nodes]
+    while len(out[-1]) > 1:
+        out.append([h(*out[-1][i : i + 3]) for i in range(0, len(out[-1]), 3)])
+    return out
+
+
+def brute(rows, tamper):
+    by = {}
+    for r in rows:
+        by.setdefault(r[1], []).append((r, leaf(r, r[4])))
+    sources = sorted(by, key=lambda s: (s is not None, (s or "").encode()))
+    for s in sources:
+        by[s].sort(key=lambda x: (x[0][0] is not None, x[0][0] or 0, x[1]))
+    trees = {s: levels([x[1] for x in by[s]]) for s in sources}
+    top = levels([trees[s][-1][0] for s in sources])
+    out = []
+    for j, s in enumerate(sources):
+        for i, (row, value) in enumerate(by[s]):
+            now, others = leaf(row, tamper(row)), []
+            for tree, at in ((trees[s], i), (top, j)):
+                for nodes in tree[:-1]:
+                    run, turn = nodes[at - at % 3 : at - at % 3 + 3], at % 3
+                    others += run[:turn] + run[turn + 1 :]
+                    now = h(*run[:turn], now, *run[turn + 1 :])
+                    at //= 3
+            out.append((row[0], value, trees[s][-1][0], top[-1][0], h(*others), now, now == top[-1][0]))
+    return out
+
+
+def without_feeds(row):
+    if None in (row[0], row[4]) or zlib.crc32(str(row[0]).encode()) % 2:
+        return row[4]
+    return row[4].replace("\n", "")
+
+
+def order(row):
+    return tuple((v is None, v) for v in row)
+
+
+def same(got, want):
+    assert sorted(map(tuple, got), key=order) == sorted(want, key=order)
+
+
+def rows_of(n):
+    sizes = {"a": n // 3, "b": 27, "c": 1, None: 5, "": 4, "é\n": 10, "z": n // 5}
+    out = []
+    for source, size in sizes.items():
+        out += [(len(out) * 7 % 1009 * 1000 + i, source, "en", i, f"line {i}\nmore\n" * (i % 3)) for i in range(size)]
+    return out
+
+
+@pytest.mark.parametrize("block_levels", [1, 2, 7])
+def test_equals_trees_built_row_by_row(spark, monkeypatch, block_levels):
+    monkeypatch.setattr(merkle, "BLOCK_LEVELS", block_levels)
+    rows = rows_of(300)
+    got = merkle.manifest(table(spark, rows).repartition(5))
+    assert got.columns == ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+    same(got.collect(), brute(rows, without_feeds))
+
+
+def test_edges(spark):
+    rows = [
+        (None, None, None, None, None), (None, None, None, None, "a\nb"), (0, "s", "", 0, ""), (0, "s", "", 0, ""),
+        (-3, "s", "de", 5, "x\ny"), (2, "s", None, 1, None), (2, "s", None, 1, "t\n"), (2, "s", None, 1, "t\n"),
+        (2**60, "S", "en", -1, "\n" * 9), (7, "s\u0000", "en", 4, "😀\n" * 70_000), (8, "ß", "en", 4, "\r\n"),
+    ]
+    same(merkle.manifest(table(spark, rows)).collect(), brute(rows, without_feeds))
+
+
+def test_one_row_and_no_row(spark):
+    rows = [(5, "s", "en", 1, "x\ny")]
+    same(merkle.manifest(table(spark, rows)).collect(), brute(rows, without_feeds))
+    assert merkle.manifest(table(spark, [])).collect() == []
+
+
+def test_any_tampering_is_seen_and_only_there(spark):
+    rows = rows_of(60)
+    changed = F.when(F.col("doc_id") % 5 == 0, F.concat(F.col("text"), F.lit("!"))).otherwise(F.col("text"))
+    got = merkle.manifest(table(spark, rows), changed).collect()
+    same(got, brute(rows, lambda r: r[4] + "!" if r[0] % 5 == 0 else r[4]))
+    assert {r["doc_id"] for r in got if not r["verified"]} == {r[0] for r in rows if r[0] % 5 == 0}
+
+
+def test_versions_share_all_nodes_but_the_path():
+    leaves = [h(str(i)) for i in range(50)]
+    tree = merkle.PersistentTree(leaves)
+    first, nodes = tree.root, len(tree.digests)
+    second = tree.with_leaf(first, 17, h("new"))
+    third = tree.with_leaf(second, 3, h("other"))
+    assert len(tree.digests) == nodes + 2 * (tree.height + 1)
+    for root, now in ((first, leaves), (second, leaves[:17] + [h("new")] + leaves[18:])):
+        assert tree.digests[root] == levels(now)[-1][0]
+    both = list(leaves)
+    both[17], both[3] = h("new"), h("other")
+    assert tree.digests[third] == levels(both)[-1][0]
+    for i in range(50):
+        assert merkle.folded(both[i], tree.siblings(third, i)) == tree.digests[third]
+
+
+def test_a_source_is_cut_into_ranges(spark):
+    """Places are right where a source goes over many ranges, and ranges over many sources."""
+    rows = [("hot", i) for i in range(500)] + [(f"s{i % 40}", i) for i in range(200)]
+    nodes = spark.createDataFrame(rows, "tree string, doc_id long").repartition(6)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        placed = merkle.with_places(nodes, ["doc_id"]).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    want = {}
+    for tree, i in sorted(rows):
+        want.setdefault(tree, []).append(i)
+    assert {(r["tree"], r["doc_id"], r["place"]) for r in placed} == {
+        (tree, i, n) for tree, ids in want.items() for n, i in enumerate(ids)
+    }
