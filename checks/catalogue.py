@@ -35,7 +35,14 @@ from pingmotion.operators.trajectory import (
     with_segments,
     with_turn_angle,
 )
-from pingmotion.plans.catchup import backfill, catch_up, hour_range, replace_runs
+from pingmotion.plans.catchup import (
+    backfill,
+    backfill_in_batches,
+    catch_up,
+    hour_range,
+    input_bytes,
+    replace_runs,
+)
 from pingmotion.plans.context import context_speed
 from pingmotion.plans.motion import (
     as_stored,
@@ -49,7 +56,9 @@ from pingmotion.schema import ping_schema, result_schema
 from pingmotion.settings import INPUT_PREFIX, RESULT_KEYS, RESULT_PREFIX, RUN_KEYS
 from pingmotion.sources.orc import hour_slice, read_partitioned, write_partitioned
 from pingmotion.sources.paths import constant_columns, read_slices
+from pingmotion.sources.publish import read_published
 from pingmotion.sources.scratch import new_folder
+from pingmotion.sources.statuslog import append_rows, compact, read_compact
 from pingmotion.sources.tables import (
     create_footprint_table,
     insert_partitions,
@@ -142,23 +151,50 @@ def context_hours_target(spark, sf_dir):
     return answered.select("country", "request_id", *RESULT_KEYS, _r("dspd"), _r("angle"))
 
 
-def positional_slices(spark, sf_dir):
-    """Directories that hold bare values: country / isFilled / confScore."""
+def context_hours_wide(spark, sf_dir):
+    """Six hours in sight on either side."""
+    answered = context_speed(inputs.request_pings(spark, sf_dir), offset=6)
+    return answered.select("country", "request_id", *RESULT_KEYS, _r("dspd"), _r("angle"))
+
+
+def context_hours_wide_target(spark, sf_dir):
+    answered = context_speed(_stored_pings(spark, sf_dir), offset=6, target=datetime(2024, 1, 1, 9))
+    return answered.select("country", "request_id", *RESULT_KEYS, _r("dspd"), _r("angle"))
+
+
+_POSITIONS: dict[str, list[str] | None] = {"country": ["us", "gb"], "isFilled": ["fill", "nf"], "confScore": None}
+
+
+def _positional(spark: SparkSession, sf_dir: str) -> str:
     path = new_folder(spark, "positional")
     pings = inputs.request_pings(spark, sf_dir)
-    levels = {"country": ["us", "gb"], "isFilled": ["fill", "nf"], "confScore": None}
-    for country in levels["country"]:
-        for filled in levels["isFilled"]:
+    for country in ("us", "gb"):
+        for filled in ("fill", "nf"):
             for score in ("pos", "rest", "tll"):
                 here = (
                     (F.col("country") == country)
                     & (F.col("isFilled") == filled)
                     & (F.col("confScore") == score)
                 )
-                pings.where(here).drop(*levels).write.orc(f"{path}/{country}/{filled}/{score}")
-    body = T.StructType([f for f in PINGS if f.name not in levels])
-    read = read_slices(spark, path, levels, body)
-    return read.select("request_id", "uid", "stage", *levels)
+                pings.where(here).drop(*_POSITIONS).write.orc(f"{path}/{country}/{filled}/{score}")
+    return path
+
+
+def _read_positional(spark: SparkSession, path: str, where: Column | None = None) -> DataFrame:
+    body = T.StructType([f for f in PINGS if f.name not in _POSITIONS])
+    read = read_slices(spark, path, _POSITIONS, body, where=where)
+    return read.select("request_id", "uid", "stage", *_POSITIONS)
+
+
+def positional_slices(spark, sf_dir):
+    """Directories that hold bare values: country / isFilled / confScore."""
+    return _read_positional(spark, _positional(spark, sf_dir))
+
+
+def positional_slices_filtered(spark, sf_dir):
+    """Only the directories that a condition on their values leaves are read."""
+    where = (F.col("isFilled") == "fill") & (F.col("confScore") != "rest")
+    return _read_positional(spark, _positional(spark, sf_dir), where)
 
 
 # gates
@@ -373,6 +409,77 @@ def replay_hour(spark, sf_dir):
     return _decoded(read_partitioned(spark, output, RESULTS))
 
 
+class _Killed(Exception):
+    """Stands for a job that ends in the middle."""
+
+
+def _killed_after(step: str) -> Callable[[str], None]:
+    def on_step(done: str) -> None:
+        if done == step:
+            raise _Killed(step)
+
+    return on_step
+
+
+def publish_killed(spark, sf_dir):
+    """All hours; then hours 9 and 10 with other grades, by one job that ends before its commit and
+    one that ends right after it, so that the first leaves no trace and the second is visible."""
+    pings, output = inputs.request_pings(spark, sf_dir), new_folder(spark, "results")
+    hours = pings.select(*RUN_KEYS).distinct()
+    replace_runs(pings, hours, output)
+    moved = pings.withColumn("confScore", F.lit("moved"))
+    for hour, step in ((9, "listed"), (10, "committed")):
+        try:
+            replace_runs(moved.where(F.col("h") == hour), hours.where(F.col("h") == hour), output, on_step=_killed_after(step))
+        except _Killed:
+            pass
+    return _decoded(read_published(spark, output, RESULTS))
+
+
+def backfill_batches(spark, sf_dir):
+    """A backfill in batches of input that ends after the second one and is called again."""
+    path, output, log = (new_folder(spark, name) for name in ("pings", "results", "status"))
+    write_partitioned(inputs.request_pings(spark, sf_dir), path, RUN_KEYS)
+    stored = read_partitioned(spark, path, PINGS)
+    hours = hour_range(spark, ["us"], range(4), date(2024, 1, 1), days=7)
+    sizes = input_bytes(spark, path, hours, RUN_KEYS)
+    third = sizes.agg(F.sum("n_bytes")).first()[0] // 3
+    inputs.hour_log(spark, sf_dir).write.orc(log)
+    logged = []
+
+    def append(rows: DataFrame) -> None:
+        st.append_status(rows, log)
+        logged.append(1)
+        if len(logged) == 2:
+            raise _Killed
+
+    for _ in range(2):
+        try:
+            backfill_in_batches(
+                stored, hours, st.read_status(spark, log), output, append, "backfill-1", sizes, third
+            )
+        except _Killed:
+            pass
+    return _decoded(read_partitioned(spark, output, RESULTS))
+
+
+def status_lookup_any(spark, sf_dir):
+    """The newest row for requests that leave out any parts, the key included."""
+    found = st.lookup(
+        inputs.status_log(spark, sf_dir), inputs.partial_times(spark, sf_dir), "status", "metadata"
+    )
+    return found.select("event_id", "key", "time", "status", "metadata")
+
+
+def pending_hours_compacted(spark, sf_dir):
+    """Pending hours from two snapshots, one on the other, and the days after them."""
+    log = new_folder(spark, "status")
+    append_rows(inputs.status_log(spark, sf_dir), log)
+    compact(spark, log, date(2024, 1, 12))
+    compact(spark, log, date(2024, 1, 25))
+    return st.pending_hours(read_compact(spark, log))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "orc_roundtrip": orc_roundtrip,
     "hour_slice": hour_slice_query,
@@ -409,4 +516,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "positional_slices": positional_slices,
     "pending_first_runs": pending_first_runs,
     "replay_hour": replay_hour,
+    "publish_killed": publish_killed,
+    "backfill_batches": backfill_batches,
+    "status_lookup_any": status_lookup_any,
+    "context_hours_wide": context_hours_wide,
+    "context_hours_wide_target": context_hours_wide_target,
+    "positional_slices_filtered": positional_slices_filtered,
+    "pending_hours_compacted": pending_hours_compacted,
 }

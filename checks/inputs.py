@@ -163,3 +163,21 @@ def first_runs_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = "key NOT LIKE 'derived_speed/gb/%'"
     daily = "CASE WHEN key = 'derived_speed/us/2/' THEN null ELSE hour END AS hour"
     return log.where(done).selectExpr(*[daily if c == "hour" else c for c in log.columns])
+
+
+def partial_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests that leave out any parts: holes in the time, no key, neither."""
+    return events(spark, sf_dir).selectExpr(
+        "event_id",
+        "CASE WHEN event_id % 5 = 0 THEN null ELSE concat(CASE event_id % 2 WHEN 0 THEN 'ard/us/'"
+        " ELSE 'derived_speed/us/' END, cast(user_id % 4 AS string), '/') END AS key",
+        """CASE event_id % 8
+             WHEN 0 THEN date_format(ts, 'yyyy-MM-dd-HH')
+             WHEN 1 THEN concat(year(ts), '-xx-', day(ts))
+             WHEN 2 THEN concat('--', day(ts), '-', hour(ts))
+             WHEN 3 THEN concat('?/', month(ts), '/?/', hour(ts))
+             WHEN 4 THEN concat(year(ts), '///', hour(ts))
+             WHEN 5 THEN cast(year(ts) AS string)
+             WHEN 6 THEN concat('x:x:', day(ts))
+             ELSE '' END AS time""",
+    )

@@ -137,6 +137,20 @@ asked as (
     try_cast(nullif(split_part(t, '/', 3), '') as int) as day, try_cast(nullif(split_part(t, '/', 4), '') as int) as hour
   from (select *, translate(time, '- :', '///') as t from times))"""
 
+PARTIAL_TIMES = """partial as (
+  select event_id,
+    case when event_id % 5 = 0 then null else concat(case event_id % 2 when 0 then 'ard/us/' else 'derived_speed/us/' end,
+      cast(user_id % 4 as varchar), '/') end as key,
+    case event_id % 8 when 0 then strftime(ts, '%Y-%m-%d-%H') when 1 then concat(year(ts), '-xx-', day(ts))
+      when 2 then concat('--', day(ts), '-', hour(ts)) when 3 then concat('?/', month(ts), '/?/', hour(ts))
+      when 4 then concat(year(ts), '///', hour(ts)) when 5 then cast(year(ts) as varchar)
+      when 6 then concat('x:x:', day(ts)) else '' end as time from events),
+asked as (
+  select event_id, key, time,
+    try_cast(nullif(split_part(t, '/', 1), '') as int) as year, try_cast(nullif(split_part(t, '/', 2), '') as int) as month,
+    try_cast(nullif(split_part(t, '/', 3), '') as int) as day, try_cast(nullif(split_part(t, '/', 4), '') as int) as hour
+  from (select *, translate(time, '- :', '///') as t from partial))"""
+
 LATEST = "strftime(max(make_timestamp(year, month, day, hour, 0, 0.0)), '%Y-%m-%d-%H')"
 
 FOOT = f"""fp as (select *, '2024-01-01' as dt, lpad(cast(h as varchar), 2, '0') as hr, {SEC} as sec from pings),
@@ -146,15 +160,22 @@ select a.dt, a.hr, cast(a.uid as varchar) as uid, a.proximity_mode, a.fp_brand,
   round(b.dspd, 4) as dspd, round(b.angle, 4) as angle
 from fmem a join motion b on {_join_on("dt, hr")}"""
 
-CONTEXT = f"""with {PINGS},
+
+
+def _context(offset: int) -> str:
+    return f"""with {PINGS},
 {ELIGIBLE},
-ctx as (select e.*, e.h + o.k as t from elig e, (values (-1), (0), (1)) o(k)),
+ctx as (select e.*, e.h + o.k as t from elig e, range(-{offset}, {offset} + 1) o(k)),
 {_motion("ctx", "country, stage, t")},
 mem as (select distinct country, uid, sec, request_id, {KEYS}, h as t from elig)
 select a.country, a.request_id, a."logType", a.y, a.m, a.d, a.h, a.stage, a."isFilled", a."confScore",
   round(b.dspd, 4) as dspd, round(b.angle, 4) as angle
 from mem a join motion b on {_join_on("country, stage, t")}"""
 
+
+CONTEXT = _context(1)
+CONTEXT_WIDE = _context(6)
+
 MEAN = f"""with {MOTION},
 reach as (
   select {RUN}, uid, i, angle, sec, n,
@@ -270,4 +291,25 @@ select country, stage, 2024 as y, 1 as m, 1 as d, cast(h as int) as h,
     "replay_hour": ALL_RESULTS
     + f"""select * replace (case when h = '09' and request_id % 7 = 0 then 'moved' else "confScore" end as "confScore")
 from ({AS_STORED})""",
+    "publish_killed": ALL_RESULTS
+    + f"""select * replace (case when h = '10' then 'moved' else "confScore" end as "confScore")
+from ({AS_STORED})""",
+    "backfill_batches": ALL_RESULTS + AS_STORED + " where country = 'us'",
+    "status_lookup_any": f"""with {STATUS}, {PARTIAL_TIMES},
+want as (select distinct key, year, month, day, hour from asked),
+hit as (
+  select w.*, l.status, l.metadata,
+    row_number() over (partition by w.key, w.year, w.month, w.day, w.hour order by l.timestamp desc, l.id desc) as rn
+  from want w join log l on (w.key is null or l.key = w.key) and (w.year is null or l.year = w.year)
+    and (w.month is null or l.month = w.month) and (w.day is null or l.day = w.day) and (w.hour is null or l.hour = w.hour))
+select a.event_id, a.key, a.time, h.status, h.metadata
+from asked a left join (select * from hit where rn = 1) h on h.key is not distinct from a.key
+  and h.year is not distinct from a.year and h.month is not distinct from a.month
+  and h.day is not distinct from a.day and h.hour is not distinct from a.hour""",
+    "context_hours_wide": CONTEXT_WIDE,
+    "context_hours_wide_target": f"select * from ({CONTEXT_WIDE}) where h = 9",
+    "positional_slices_filtered": f"""with {PINGS}
+select request_id, uid, stage, country, "isFilled", "confScore" from pings
+where "isFilled" = 'fill' and "confScore" <> 'rest'""",
 }
+ORACLES["pending_hours_compacted"] = ORACLES["pending_hours"]

@@ -61,49 +61,44 @@ def status_rows(events: DataFrame) -> DataFrame:
     ).to(STATUS)
 
 
+def _given(parts: Sequence[str]) -> Column:
+    """One bit per part that is not null."""
+    bits = [F.when(F.col(p).isNotNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, p in enumerate(parts)]
+    return sum(bits[1:], bits[0])
+
+
 def lookup(log: DataFrame, requests: DataFrame, *columns: str) -> DataFrame:
     """Values of ``columns`` (default: status) in the newest matching row for each request
     (key and event time); null if there is none.
 
-    A request matches on the time parts it gives, so a date without hour also matches the
-    hourly rows of that day. Only right parts may be missing: a request with a hole, such
-    as a day without month, matches nothing, and neither does one without key. Of rows with
-    equal timestamps the larger id counts as newer.
+    A request matches on what it gives: a date without hour also matches the hourly rows of that
+    day, ``2017-xx-22`` every 22nd of that year, a request without key any key, and one that gives
+    nothing the newest row of all. A part of the log that is null matches only requests that leave it
+    out. Of rows with equal timestamps the larger id counts as newer.
 
-    The log is folded to its distinct event times first, then those to every prefix of the
-    time, and requests meet at most one row by equality: a busy key never pairs all its
-    rows with all its requests.
+    The log is folded to its distinct event times first, then once for each combination of parts
+    that the requests give, of which there are 32 at most, and requests meet at most one row by
+    equality: a busy key never pairs all its rows with all its requests.
     """
     columns = columns or ("status",)
+    parts = ("key", *TIME_PARTS)
+    asked = requests.withColumns(time_parts(F.col("time"))).withColumn("_mask", _given(parts))
+    masks = sorted(r["_mask"] for r in asked.select("_mask").distinct().collect())
     when = F.struct("timestamp", "id")
-    events = log.groupBy("key", *TIME_PARTS).agg(
+    events = log.groupBy(*parts).agg(
         F.max_by(F.struct(when.alias("_when"), F.struct(*columns).alias("_row")), when).alias("_last")
     )
-    levels = (
-        events.groupingSets(
-            [["key", *TIME_PARTS[:n]] for n in range(len(TIME_PARTS) + 1)],
-            "key",
-            *TIME_PARTS,
-        )
-        .agg(
-            F.max_by(F.col("_last._row"), F.col("_last._when")).alias("_newest"),
-            F.grouping_id().alias("_folded"),
-        )
-        # grouping_id has one bit per part that was folded away: 0, 1, 3, 7, 15
-        .select(
-            F.col("key").alias("_key"),
-            *[F.coalesce(F.col(p), F.lit(-1)).alias(f"_{p}") for p in TIME_PARTS],
-            (F.lit(len(TIME_PARTS)) - F.bit_count("_folded")).cast("int").alias("_depth"),
-            "_newest",
-        )
-    )
-    parts = time_parts(F.col("time"))
-    asked = requests.withColumns(parts).withColumn(
-        "depth", sum((F.col(p).isNotNull().cast("int") for p in TIME_PARTS), F.lit(0))
+    newest = F.max_by(F.col("_last._row"), F.col("_last._when")).alias("_newest")
+    kept = {m: [p for i, p in enumerate(parts) if m >> i & 1] for m in masks}
+    levels = events.groupingSets(list(kept.values()) or [[]], *parts).agg(newest, F.grouping_id().alias("_folded"))
+    # grouping_id has the first part in its highest bit, set where the part was folded away
+    mask = sum(
+        (F.lit(1 << i) * (F.lit(1) - F.getbit("_folded", F.lit(len(parts) - 1 - i))) for i in range(len(parts))), F.lit(0)
     )
-    same = (F.col("key") == F.col("_key")) & (F.col("depth") == F.col("_depth"))
-    for p in TIME_PARTS:
-        same = same & (F.coalesce(F.col(p), F.lit(-1)) == F.col(f"_{p}"))
+    levels = levels.select(*[F.col(p).alias(f"_{p}") for p in parts], mask.alias("_of"), "_newest")
+    same = F.col("_mask") == F.col("_of")
+    for p in parts:
+        same = same & F.col(p).eqNullSafe(F.col(f"_{p}"))
     return asked.join(levels, same, "left").select(
         *requests.columns, *[F.col("_newest")[c].alias(c) for c in columns]
     )

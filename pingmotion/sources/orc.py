@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,40 +37,19 @@ def write_partitioned(
     keys: Sequence[str] = ("country", *RESULT_KEYS),
     replace: bool = False,
     rebalance: bool = True,
+    options: Mapping[str, str] | None = None,
 ) -> None:
     """Write zlib ORC under ``name=value`` directories.
 
     ``replace`` swaps the partitions (leaf directories) present in ``df`` and leaves the
-    others; to replace runs whose rows may have moved to other leaves, use ``clear_runs``
-    first. Otherwise rows are appended. ``rebalance`` gathers the
+    others; runs whose rows may have moved to other leaves are replaced by
+    ``publish.publish_runs``. Otherwise rows are appended. ``rebalance`` gathers the
     rows of a directory so that tasks do not each leave a small file in every directory;
     adaptive execution splits the large directories again.
     """
     rows = df.hint("rebalance", *keys) if rebalance else df
-    writer = rows.write.partitionBy(*keys).option("compression", "zlib")
+    writer = rows.write.partitionBy(*keys).options(compression="zlib", **options or {})
     if replace:
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").orc(path)
     else:
         writer.mode("append").orc(path)
-
-
-def clear_runs(spark: SparkSession, path: str, runs: DataFrame, run_keys: Sequence[str]) -> None:
-    """Remove every stored partition of the listed runs, whatever its other keys are.
-
-    ``runs`` holds the keys as they are stored. Values of the keys prune the listing, so
-    only directories of the runs' hours are looked at.
-    """
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root) or not len(fs.listStatus(root)):
-        return
-    runs = runs.select(*run_keys).distinct()
-    values = runs.agg(*[F.collect_set(key).alias(key) for key in run_keys]).first()
-    there = spark.read.schema(runs.schema).orc(path)
-    for key in run_keys:
-        there = there.where(F.col(key).isin(sorted(values[key])))
-    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("folder")
-    stale = there.select(folder, *run_keys).distinct().join(runs, list(run_keys), "left_semi")
-    for row in stale.select("folder").distinct().toLocalIterator():
-        fs.delete(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row["folder"])), True)

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping, Sequence
+import re
+from collections.abc import Collection, Iterator, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyarrow import fs as pafs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .folders import child_directories, opened, qualified
+from .scratch import new_folder
 
 #: fixed value: the directory of a null partition value
 NULL_DIRECTORY = "__HIVE_DEFAULT_PARTITION__"
@@ -41,7 +46,8 @@ def with_path_values(
     Levels in ``named`` are written as ``name=value`` with the escapes and the null directory
     that Spark gives them; others are the directory's name as it is. A value that is not of
     the type asked for is null, but stops the job for a level in ``listed``, whose values
-    were asked for. The columns are computed, so filters on them skip no directory.
+    were asked for. The columns are computed, so filters on them skip no directory;
+    ``read_slices`` takes such filters itself.
     """
     parent_dirs = F.split(F.col("_metadata.file_path"), "/")
     depth = len(levels)
@@ -63,6 +69,60 @@ def with_path_values(
     return df.withColumns({name: value(i) for i, name in enumerate(levels)})
 
 
+def slice_index(
+    spark: SparkSession,
+    base: str,
+    levels: Mapping[str, Sequence[str] | None],
+    types: Mapping[str, str] | None = None,
+    named: Collection[str] = (),
+) -> DataFrame:
+    """One row per directory of the lowest level: its ``path``, the bytes of its files and the typed values
+    of all levels. Directories are listed in tasks, level by level, and those of unwanted values are not
+    entered. A value that is not of its type is null."""
+    names = list(levels)
+    wanted = [None if v is None else set(v) for v in levels.values()]
+    top = min(2, len(names) - 1)  # levels that one task lists before the others share the work
+    root = qualified(spark, base)
+
+    def below(first: int, last: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            fs, start = opened(root)
+            for batch in batches:
+                for above in batch["under"].to_pylist():
+                    here = [above]
+                    for level in range(first, last):
+                        here = [
+                            f"{p}/{c}"
+                            for p in here
+                            for c in child_directories(fs, start + p)
+                            if wanted[level] is None or c in wanted[level]
+                        ]
+                    sizes = [0] * len(here)
+                    if last == len(names):
+                        found = [fs.get_file_info(pafs.FileSelector(start + p)) for p in here]
+                        sizes = [sum(f.size for f in files if f.is_file) for files in found]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(here, pa.string()), pa.array(sizes, pa.int64())], ["under", "n_bytes"]
+                    )
+
+        return run
+
+    leaves = spark.createDataFrame([("",)], "under string")
+    if top:
+        leaves = leaves.mapInArrow(below(0, top), "under string, n_bytes long").select("under").repartition("under")
+    leaves = leaves.mapInArrow(below(top, len(names)), "under string, n_bytes long")
+    parts = F.split("under", "/")
+    values = {n: _level_value(F.element_at(parts, i - len(names)), n, types or {}, named) for i, n in enumerate(names)}
+    return leaves.select(F.concat(F.lit(root), "under").alias("path"), "n_bytes", *[v.alias(n) for n, v in values.items()])
+
+
+def _level_value(text: Column, name: str, types: Mapping[str, str], named: Collection[str]) -> Column:
+    if name in named:
+        text = _decoded(F.regexp_replace(text, "^[^=]*=", ""))
+        text = F.when(text != NULL_DIRECTORY, text)
+    return text.try_cast(types[name]) if name in types else text
+
+
 def read_slices(
     spark: SparkSession,
     base: str,
@@ -71,23 +131,45 @@ def read_slices(
     types: Mapping[str, str] | None = None,
     skip_unreadable: bool = False,
     named: Collection[str] = (),
+    where: Column | None = None,
 ) -> DataFrame:
     """Read many slices as one scan with their path values as columns.
 
     ``levels`` gives the wanted directories of each level; combinations that have no
-    directory fall out when the glob is expanded. With ``skip_unreadable`` damaged files are
-    left out; ``skipped_files`` lists them.
+    directory fall out when the glob is expanded. ``where`` is any condition on the level columns; it
+    is answered from the index of the directories, and the other directories are neither listed for
+    files nor read. With ``skip_unreadable`` damaged files are left out; ``skipped_files`` lists them.
     """
-    files = (
+    reader = (
         spark.read.schema(schema)
         .option("ignoreCorruptFiles", skip_unreadable)
         .option("ignoreMissingFiles", skip_unreadable)
-        .orc(slices_glob(base, levels))
     )
+    if where is None:
+        files = reader.orc(slices_glob(base, levels))
+    else:
+        # a reader is built from the list of its folders
+        chosen = slice_index(spark, base, levels, types, named).where(where).select("path")
+        paths = [_as_glob(r["path"]) for r in chosen.collect()]
+        files = reader.orc(paths) if paths else reader.orc(_nowhere(spark))
     listed = [name for name, wanted in levels.items() if wanted is not None]
     return with_path_values(files, list(levels), types or {}, named, listed)
 
 
+def _as_glob(path: str) -> str:
+    """A path that a reader takes literally."""
+    return re.sub(r"([\\*?{}\[\]])", r"\\\1", path)
+
+
+def _nowhere(spark: SparkSession) -> str:
+    """An empty folder."""
+    path = new_folder(spark, "nothing")
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    return path
+
+
 def skipped_files(
     spark: SparkSession, base: str, levels: Mapping[str, Sequence[str] | None], schema: T.StructType
 ) -> DataFrame:

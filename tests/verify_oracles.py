@@ -20,7 +20,7 @@ TABLES = (
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
-    con = duckdb.connect()
+    con = duckdb.connect(config={"temp_directory": "", "memory_limit": "8GB"})  # no spill beside the code
     for t in TABLES:
         con.execute(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
     return con
