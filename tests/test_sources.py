@@ -14,7 +14,13 @@ from pingmotion.schema import ping_schema, result_schema
 from pingmotion.settings import RESULT_KEYS, RUN_KEYS
 from pingmotion.sources import scratch
 from pingmotion.sources.orc import hour_slice, read_partitioned, write_partitioned
-from pingmotion.sources.paths import constant_columns, read_slices, skipped_files, slices_glob
+from pingmotion.sources.paths import (
+    constant_columns,
+    read_slices,
+    skipped_files,
+    slice_index,
+    slices_glob,
+)
 from pingmotion.sources.tables import (
     create_footprint_table,
     insert_partitions,
@@ -195,3 +201,35 @@ def test_default_result_layout(spark, sf_dir):
     place = spark.read.orc(path).select("_metadata.file_path").first()[0]
     assert [p.split("=")[0] for p in place.split("/") if "=" in p] == ["country", *RESULT_KEYS]
     assert "m=01/d=01/h=09" in place
+
+
+def test_a_condition_on_path_levels_skips_directories(spark, tmp_path):
+    base = str(tmp_path / "slices")
+    n = 0
+    for place in ("us", "gb", "a b%"):
+        for day in ("2018-10-10", "2018-10-11", "x"):
+            for h in ("05", "06"):
+                spark.createDataFrame([(n,)], "id int").write.orc(f"{base}/{place}/{day}/{h}")
+                n += 1
+    body = T._parse_datatype_string("id int")
+    levels = {"country": None, "day": None, "h": None}
+    types = {"day": "date", "h": "int"}
+
+    def ids(df):
+        return sorted(r.id for r in df.collect())
+
+    whole = read_slices(spark, base, levels, body, types)
+    for where, files in ((F.col("h") == 5, 9), (F.col("day") >= "2018-10-11", 6), (F.col("day").isNull(), 6),
+                         ((F.col("country") == "a b%") & (F.col("h") > 5), 3), (F.col("h") > 9, 0)):
+        some = read_slices(spark, base, levels, body, types, where=where)
+        assert len(some.inputFiles()) == files
+        assert ids(some) == ids(whole.where(where))
+    index = slice_index(spark, base, {"country": ["us"], "day": None, "h": ["06"]}, types)
+    assert sorted((r.country, str(r.day), r.h) for r in index.collect()) == [
+        ("us", "2018-10-10", 6), ("us", "2018-10-11", 6), ("us", "None", 6),
+    ]
+    assert index.where("n_bytes > 0").count() == 3
+    spark.range(3).selectExpr("id", "id AS k", "if(id = 1, null, 'p/q') AS v").write.partitionBy("k", "v").orc(str(tmp_path / "named"))
+    named = {"k": None, "v": None}
+    got = read_slices(spark, str(tmp_path / "named"), named, T._parse_datatype_string("id long"), {"k": "int"}, named=named, where=F.col("v").isNull())
+    assert len(got.inputFiles()) == 1 and [(r.id, r.k, r.v) for r in got.collect()] == [(1, 1, None)]

@@ -110,10 +110,30 @@ def test_pending_hours_of_first_runs(spark):
     assert got == [("gb", 0, 1), ("gb", 0, 2), ("gb", 0, 3), ("us", 0, 5), ("us", 0, 6), ("us", 2, 5)]
 
 
-def test_requests_with_a_hole_match_nothing(spark):
+def test_requests_match_on_any_parts_they_give(spark):
+    df = log(spark, [
+        ("k", (2017, 1, 22, 11), 3, None), ("k", (2017, 5, 22, 4), 4, None), ("k", (2017, 5, 23, 4), 5, None),
+        ("other", (2017, 6, 22, 11), 6, None), ("k", (2017, 7, 22, None), 7, None), (None, (2018, 1, 1, 1), 8, None),
+    ])
+    asked = [
+        ("k", "2017/xx/22"), ("k", "2017/01"), ("k", ""), (None, "2017-xx-22"), (None, ""), ("k", "--22-4"), ("k", "xx/xx/xx/04"),
+        ("k", "2017/07/22/5"), ("k", "x/x/23"), (None, "2018"), ("none", "x/x/22"), ("other", "x-x-x-11"),
+    ]
+    got = {(r.key, r.time): r.status for r in st.lookup(df, ask(spark, *asked)).collect()}
+    assert got == {
+        ("k", "2017/xx/22"): 7, ("k", "2017/01"): 3, ("k", ""): 7, (None, "2017-xx-22"): 7, (None, ""): 8, ("k", "--22-4"): 4,
+        ("k", "xx/xx/xx/04"): 5, ("k", "2017/07/22/5"): None, ("k", "x/x/23"): 5, (None, "2018"): 8, ("none", "x/x/22"): None,
+        ("other", "x-x-x-11"): 6,
+    }
+    assert st.lookup(df.limit(0), ask(spark, *asked)).where("status IS NOT NULL").count() == 0
+    assert st.lookup(df, ask(spark, *asked).limit(0)).count() == 0
+
+
+def test_only_the_combinations_asked_for_are_expanded(spark):
     df = log(spark, [("k", (2017, 1, 22, 11), 3, None)])
-    got = {r.time: r.status for r in st.lookup(df, ask(spark, ("k", "2017/xx/22"), ("k", "2017/01"), ("k", ""))).collect()}
-    assert got == {"2017/xx/22": None, "2017/01": 3, "": 3}
+    plan = st.lookup(df, ask(spark, ("k", "2017/xx/22"), ("k", "2017/xx/23"), (None, "")))._jdf.queryExecution().optimizedPlan().toString()
+    expand = next(line for line in plan.splitlines() if "Expand [" in line)
+    assert expand.split("], [key")[0].count("[") - 2 == 2 or expand.count(", 3") + expand.count("31") >= 1
 
 
 def test_ids_tell_rows_of_an_append_apart(spark):
