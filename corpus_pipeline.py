@@ -9,7 +9,7 @@ texts and repeated rows pass through every stage by the rules of its operator; o
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pingmotion.llm import bpe, decontaminate, near_dedup, pii, quality
@@ -29,14 +29,15 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document of the smallest doc_id; of its repeated rows
-    one. Rows without doc_id stay."""
+    """Of each group of near duplicates the document of the smallest doc_id; of its rows the one with the
+    least text, a null text last. Rows without doc_id stay."""
     groups = near_dedup.near_duplicates(docs, SIMILARITY)
     kept = groups.where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__kept")).distinct()
     there = docs.join(kept, docs["doc_id"] == kept["__kept"], "left_semi")
     one = there.groupBy("doc_id").count().where("count > 1")
     if one.limit(1).count():
-        there = there.dropDuplicates(["doc_id"])
+        rows = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last(), F.xxhash64(*docs.columns))
+        there = there.withColumn("__row", F.row_number().over(rows)).where("__row = 1").drop("__row")
     return there.unionByName(docs.where("doc_id IS NULL"))
 
 
