@@ -52,7 +52,7 @@ from pingmotion.plans.motion import (
     request_speed,
     unmeasured_requests,
 )
-from pingmotion.schema import ping_schema, result_schema
+from pingmotion.schema import FOOTPRINT, ping_schema, result_schema
 from pingmotion.settings import INPUT_PREFIX, RESULT_KEYS, RESULT_PREFIX, RUN_KEYS
 from pingmotion.sources.orc import hour_slice, read_partitioned, write_partitioned
 from pingmotion.sources.paths import constant_columns, read_slices
@@ -301,6 +301,11 @@ def derived_speed_hourly(spark, sf_dir):
     return _decoded(derived_speed(inputs.request_pings(spark, sf_dir)))
 
 
+def derived_speed_days(spark, sf_dir):
+    """Two days in one job; pings without uid are one device of each run."""
+    return _decoded(derived_speed(inputs.two_day_pings(spark, sf_dir)))
+
+
 def derived_speed_backfill(spark, sf_dir):
     hours = hour_range(spark, ["us"], range(4), date(2024, 1, 1), days=7)
     return _decoded(backfill(_stored_pings(spark, sf_dir), hours))
@@ -332,6 +337,22 @@ def footprints(spark, sf_dir):
     return _flat_footprints(_footprints(spark, sf_dir))
 
 
+def footprint_matches(spark, sf_dir):
+    """None to three matches a ping, all ten fields, one row per match and one for none."""
+    day = inputs.matched_pings(spark, sf_dir).withColumns({"dt": F.lit("2024-01-01"), "hr": F.col("hour")})
+    rows = footprint_speed(day).select("*", F.posexplode_outer("fp_matches").alias("place", "fp"))
+    fields = [f.name for f in FOOTPRINT]
+    return rows.select(
+        "dt",
+        "hr",
+        F.col("uid").cast("string").alias("uid"),
+        F.coalesce(F.col("place") + 1, F.lit(0)).cast("int").alias("place"),
+        *[F.col(f"fp.{name}").alias(name) for name in fields],
+        _r("dspd"),
+        _r("angle"),
+    )
+
+
 def table_insert(spark, sf_dir):
     table = f"footprint_speed_{uuid.uuid4().hex[:8]}"
     create_footprint_table(spark, table, new_folder(spark, "footprints"))
@@ -502,8 +523,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mean_turn_angle": mean_turn_angle,
     "request_speed": request_speed_query,
     "derived_speed_hourly": derived_speed_hourly,
+    "derived_speed_days": derived_speed_days,
     "derived_speed_backfill": derived_speed_backfill,
     "footprint_speed": footprints,
+    "footprint_matches": footprint_matches,
     "table_insert": table_insert,
     "status_parse_time": status_parse_time,
     "status_latest": status_latest,

@@ -56,6 +56,41 @@ def request_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pings(spark, sf_dir).drop("proximity_mode", "fp_brand", "is_poly")
 
 
+def two_day_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Request pings of two calendar days, a twentieth of the devices without uid."""
+    late = F.expr("(request_id div 7) % 2")
+    return request_pings(spark, sf_dir).withColumns(
+        {
+            "d": (late + 1).cast("int"),
+            "r_timestamp": F.col("r_timestamp") + late * 86_400_000,
+            "uid": F.when(F.col("uid") % 20 != 0, F.col("uid")),
+        }
+    )
+
+
+def matched_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pings of a per-day table with none to three place matches, all ten fields of each set, a
+    twentieth of the devices without uid."""
+
+    def match(i: int) -> str:
+        n = f"(request_id + {i})"
+        return (
+            f"named_struct('proximity_mode', cast({n} % 6 AS int), 'fp_brand', concat('brand', {n} % 17),"
+            f" 'fp_sic', concat('sic', {n} % 5), 'weight', cast(({n} % 8) / 8 AS float), 'hash_key', concat('h', {n} % 101),"
+            f" 'is_poly', cast({n} % 2 AS int), 'block_id', cast({n} % 1000 AS int), 'is_employee', {n} % 3 = 0,"
+            f" 'open_status', if({n} % 4 = 0, null, 'open'), 'ha_match', {n} % 7 = 0)"
+        )
+
+    return pings(spark, sf_dir).selectExpr(
+        "if(uid % 20 = 0, null, uid) AS uid",
+        "r_timestamp",
+        "latitude",
+        "longitude",
+        f"slice(array({match(1)}, {match(2)}, {match(3)}), 1, cast(request_id % 4 AS int)) AS fp_matches",
+        "lpad(cast(h AS string), 2, '0') AS hour",
+    )
+
+
 def footprint_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pings as a per-day table holds them: nested place matches and the hour as text."""
     nothing = F.lit(None)

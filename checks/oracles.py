@@ -312,4 +312,44 @@ from asked a left join (select * from hit where rn = 1) h on h.key is not distin
 select request_id, uid, stage, country, "isFilled", "confScore" from pings
 where "isFilled" = 'fill' and "confScore" <> 'rest'""",
 }
+# pings without uid are one group, for which -1 stands here
+ORACLES["derived_speed_days"] = f"""with {PINGS.replace("pings as (", "base as (", 1)},
+pings as (
+  select * replace (case when uid % 20 = 0 then -1 else uid end as uid, cast(1 + (request_id // 7) % 2 as int) as d,
+    r_timestamp + 86400000 * ((request_id // 7) % 2) as r_timestamp) from base),
+{ELIGIBLE},
+{_motion("elig", RUN)},
+{MEMBERS},
+{PLAIN_REQ},
+{RESULT}
+{AS_STORED}"""
+
+
+def _match(i: int) -> str:
+    n = f"(request_id + {i})"
+    return (
+        f"{{'proximity_mode': cast({n} % 6 as int), 'fp_brand': 'brand' || ({n} % 17), 'fp_sic': 'sic' || ({n} % 5),"
+        f" 'weight': cast(({n} % 8) / 8.0 as float), 'hash_key': 'h' || ({n} % 101), 'is_poly': cast({n} % 2 as int),"
+        f" 'block_id': cast({n} % 1000 as int), 'is_employee': {n} % 3 = 0,"
+        f" 'open_status': case when {n} % 4 = 0 then null else 'open' end, 'ha_match': {n} % 7 = 0}}"
+    )
+
+
+ORACLES["footprint_matches"] = f"""with {PINGS},
+fp as (
+  select * replace (case when uid % 20 = 0 then -1 else uid end as uid), '2024-01-01' as dt,
+    lpad(cast(h as varchar), 2, '0') as hr, {SEC} as sec,
+    [{_match(1)}, {_match(2)}, {_match(3)}][1 : request_id % 4] as matches from pings),
+{_motion("fp", "dt, hr")},
+fmem as (select distinct dt, hr, uid, sec, matches from fp),
+answered as (
+  select a.dt, a.hr, a.uid, a.matches, round(b.dspd, 4) as dspd, round(b.angle, 4) as angle
+  from fmem a join motion b on {_join_on("dt, hr")}),
+flat as (
+  select *, unnest(case when len(matches) = 0 then [0] else range(1, len(matches) + 1) end) as place from answered)
+select dt, hr, case when uid = -1 then null else cast(uid as varchar) end as uid, cast(place as int) as place,
+  matches[place].proximity_mode as proximity_mode, matches[place].fp_brand as fp_brand, matches[place].fp_sic as fp_sic,
+  matches[place].weight as weight, matches[place].hash_key as hash_key, matches[place].is_poly as is_poly,
+  matches[place].block_id as block_id, matches[place].is_employee as is_employee,
+  matches[place].open_status as open_status, matches[place].ha_match as ha_match, dspd, angle from flat"""
 ORACLES["pending_hours_compacted"] = ORACLES["pending_hours"]
