@@ -8,7 +8,7 @@ of a text block and advances all of them by one byte at a time, accepting states
 ``bincount``, and the counts of all blocks are summed.
 
 Scale. Texts are read where they are and never shuffled; what leaves a task is counted or distinct: words
-and their counts, at most ``BUCKETS`` bucket sums, candidate phrases, counts per candidate. Broadcast are
+and their counts, ``BUCKETS`` small bucket sums, candidate phrases, counts per candidate. Broadcast are
 bitmaps of ``BUCKETS`` bits and tries of at most ``PASS_BYTES`` together; candidates beyond that take
 further passes. Nothing is dropped: full buckets only let more candidates through. A language, word or
 copied text may hold any share of the rows, since all sums are pre-aggregated in the tasks. Candidates
@@ -35,12 +35,15 @@ from .tables import small_batches, stored
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
 
-BUCKETS = 1 << 24
+#: a bucket is of use while the words of the corpus are not many times as many as buckets
+BUCKETS = 1 << 26
+#: buckets whose counts travel together
+STRETCH = 1 << 16
 #: words and phrases that a task remembers before it sends them on
 HELD = 300_000
 #: bytes of phrases in a trie, and of the arrays of the tries of one pass
 TRIE_BYTES = 3 << 20
-PASS_BYTES = 96 << 20
+PASS_BYTES = 32 << 20
 #: longer words stand in tries by their digest, so that a trie has few levels
 LONG_WORD = 40
 
@@ -151,15 +154,46 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return rows.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
-def _bits(slots: DataFrame) -> np.ndarray:
-    """A bitmap of ``BUCKETS`` bits with those of column ``slot`` set."""
-    marks = slots.groupBy(F.expr("slot div 64").alias("w")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 AS int))")).alias("m")
-    )
-    words = np.zeros(BUCKETS // 64, np.int64)
-    for row in marks.toLocalIterator():  # at most BUCKETS / 64 rows
-        words[row["w"]] = row["m"]
-    return words.view(np.uint64)
+class _Buckets:
+    """Counts of hashed buckets, kept up to ``cap``: whether a sum reaches the cap needs no more."""
+
+    def __init__(self, cap: int):
+        self.cap = cap
+        self.kind = np.uint8 if cap < 256 else np.uint32
+        self.counts = np.zeros(BUCKETS, self.kind)
+
+    def add(self, hashes: np.ndarray, times: int = 1) -> None:
+        slots, n = np.unique((hashes & _U(BUCKETS - 1)).astype(np.int64), return_counts=True)
+        self.counts[slots] = np.minimum(self.counts[slots] + n * times, self.cap)
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """``block, counts``: the counts in stretches, those without any left out."""
+        size = min(BUCKETS, STRETCH)
+        for block in np.flatnonzero(self.counts.reshape(-1, size).any(axis=1)).tolist():
+            part = self.counts[block * size : (block + 1) * size].tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([part], pa.binary())], ["block", "counts"])
+
+
+def _bits(rows: DataFrame, cap: int) -> np.ndarray:
+    """The bitmap of the buckets whose counts, summed over all rows, reach the cap."""
+    size = min(BUCKETS, STRETCH)
+    kind = np.uint8 if cap < 256 else np.uint32
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, counts in zip(batch["block"].to_pylist(), batch["counts"].to_pylist()):
+                more = np.frombuffer(counts, kind).astype(np.uint32)
+                sums[block] = np.minimum(sums.get(block, 0) + more, cap).astype(np.uint32)
+        for block, counts in sums.items():
+            packed = np.packbits(counts >= cap, bitorder="little").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([packed], pa.binary())], ["block", "bits"])
+
+    summed = rows.select("block", "counts").repartition("block").mapInArrow(run, "block long, bits binary")
+    whole = bytearray(BUCKETS // 8)
+    for row in summed.collect():  # BUCKETS bits, however many rows were summed
+        whole[row["block"] * size // 8 : (row["block"] + 1) * size // 8] = row["bits"]
+    return np.frombuffer(bytes(whole), np.uint64)
 
 
 def _has(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -167,16 +201,19 @@ def _has(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[slot >> _U(6)] >> (slot & _U(63))) & _U(1) == 1
 
 
-def _word_slots(words: DataFrame) -> DataFrame:
+def _word_buckets(words: DataFrame, cap: int) -> DataFrame:
+    """``block, counts`` in which the buckets of all these words are full."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        buckets = _Buckets(cap)
         for batch in batches:
             salts = np.array([_salt(lang) for lang in batch["lang"].to_pylist()], np.uint64)
             for first, end, data, offsets in W.pieces(batch["phrase"]):
                 hashes = W.word_hashes(data, offsets[:-1], offsets[1:], lower=False)
-                slot = W.mix(hashes ^ salts[first:end]) & _U(BUCKETS - 1)
-                yield pa.RecordBatch.from_arrays([pa.array(slot.view(np.int64))], ["slot"])
+                buckets.add(W.mix(hashes ^ salts[first:end]), cap)
+        yield from buckets.rows()
 
-    return words.select("lang", "phrase").mapInArrow(run, "slot long")
+    return words.select("lang", "phrase").mapInArrow(run, "block long, counts binary")
 
 
 def _feasible(block: Block, bits: list[np.ndarray], length: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -198,22 +235,22 @@ def _feasible(block: Block, bits: list[np.ndarray], length: int) -> Iterator[tup
         yield values, ok
 
 
-def _level(texts: DataFrame, bits: list[np.ndarray], length: int, max_words: int) -> DataFrame:
-    """One pass: ``slot, f`` of the buckets of phrases of ``length`` words, and ``lang, phrase`` of the
-    candidates one word shorter."""
+def _level(texts: DataFrame, bits: list[np.ndarray], length: int, max_words: int, cap: int) -> DataFrame:
+    """One pass: ``block, counts`` of the buckets of phrases of ``length`` words, and ``lang, phrase`` of
+    the candidates one word shorter."""
     known = texts.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = known.value
-        counts = np.zeros(BUCKETS if length <= max_words else 0, np.int32)
+        buckets = _Buckets(cap) if length <= max_words else None
         seen: set[int] = set()
         for block in _blocks(batches):
             if not len(block.starts):
                 continue
             levels = list(_feasible(block, bits, min(length, max_words)))
-            if length <= max_words:
+            if buckets is not None:
                 values, ok = levels[length - 1]
-                np.add.at(counts, values[ok] & _U(BUCKETS - 1), 1)
+                buckets.add(values[ok])
             if length > 2:
                 values, ok = levels[length - 2]
                 at = np.flatnonzero(ok)
@@ -224,45 +261,39 @@ def _level(texts: DataFrame, bits: list[np.ndarray], length: int, max_words: int
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.nulls(len(fresh), pa.int64()),
-                            pa.nulls(len(fresh), pa.int64()),
+                            pa.nulls(len(fresh), pa.binary()),
                             pa.array([block.langs[block.text[i]] for _, i in fresh], pa.string()),
                             pa.array([block.phrase(i, length - 1).decode() for _, i in fresh], pa.string()),
                         ],
-                        ["slot", "f", "lang", "phrase"],
+                        ["block", "counts", "lang", "phrase"],
                     )
                 if len(seen) > HELD:
                     seen.clear()
-        slots = np.flatnonzero(counts)
-        for at in range(0, len(slots), 100_000):
-            part = slots[at : at + 100_000]
-            nothing = pa.nulls(len(part), pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part, pa.int64()), pa.array(counts[part], pa.int64()), nothing, nothing],
-                ["slot", "f", "lang", "phrase"],
-            )
+        for row in buckets.rows() if buckets is not None else ():
+            nothing = pa.nulls(1, pa.string())
+            yield pa.RecordBatch.from_arrays([*row.columns, nothing, nothing], ["block", "counts", "lang", "phrase"])
 
-    return texts.mapInArrow(run, "slot long, f long, lang string, phrase string")
+    return texts.mapInArrow(run, "block long, counts binary, lang string, phrase string")
 
 
 def candidates(texts: DataFrame, words: DataFrame, min_count: int, max_words: int) -> DataFrame:
     """``lang, phrase`` of two to ``max_words`` words: every phrase that may occur ``min_count`` times."""
-    bits = [_bits(_word_slots(words.where(F.col("f") >= min_count)))]
+    bits = [_bits(_word_buckets(words.where(F.col("f") >= min_count), min_count), min_count)]
     found: DataFrame | None = None
     for length in range(2, max_words + 2):
-        level = stored(_level(texts, bits, length, max_words), f"phrases-{length}")
+        level = stored(_level(texts, bits, length, max_words, min_count), f"phrases-{length}")
         if length > 2:
             here = level.where("phrase IS NOT NULL").select("lang", "phrase")
             found = here if found is None else found.union(here)
         if length <= max_words:
-            sums = level.where("slot IS NOT NULL").groupBy("slot").agg(F.sum("f").alias("f"))
-            bits.append(_bits(sums.where(F.col("f") >= min_count)))
+            bits.append(_bits(level.where("block IS NOT NULL"), min_count))
     return found.distinct()
 
 
 class DoubleArray:
     """A trie as arrays: the child of state ``s`` by byte ``b`` is ``base[s] + b`` if ``check`` there
-    is ``s``. ``accept`` has the number of the key that ends in a state, or -1; ``roots`` the state
-    with which each language begins.
+    is ``s``. ``ends`` has the states in which a key ends, in order, and ``numbers`` those keys; ``roots``
+    the state with which each language begins.
 
     Built level by level from sorted keys. Children of a state with several lie in a stretch of their own;
     states with one child fill the gaps.
@@ -280,10 +311,10 @@ class DoubleArray:
         self.roots = {name: 256 + i for i, name in enumerate(names)}
         state = np.array([self.roots[langs[i]] for i in order], np.int64)
         top = 256 + len(names)
-        room = top + 256 * (len(order) + 1)
+        room = top + 2 * int(lengths.sum()) + 1024
         base = np.zeros(room, np.int32)
         check = np.full(room, -1, np.int32)
-        accept = np.full(room, -1, np.int32)
+        ends = np.zeros(len(order), np.int64)
         gaps = np.zeros(0, np.int64)
         # bytes that a key shares with the key before; none across languages
         differ = np.ones(len(order), np.int64)
@@ -316,25 +347,26 @@ class DoubleArray:
             top += len(single) - taken
             if top + 512 > len(base):
                 grown = 2 * (top + 512)
-                base, check, accept = (
-                    np.concatenate([a, np.full(grown - len(a), fill, np.int32)])
-                    for a, fill in ((base, 0), (check, -1), (accept, -1))
+                base, check = (
+                    np.concatenate([a, np.full(grown - len(a), fill, np.int32)]) for a, fill in ((base, 0), (check, -1))
                 )
             base[parent[begin]] = slot - byte[begin]
             place = base[parent] + byte
             check[place] = parent
             state[rows] = place[np.cumsum(new) - 1]
-            ends = rows[lengths[rows] == depth + 1]
-            accept[state[ends]] = number[ends]
+            over = rows[lengths[rows] == depth + 1]
+            ends[over] = state[over]
             free = np.flatnonzero(check[256 + len(names) : top] < 0)
             gaps = free + 256 + len(names)
-        self.base, self.check, self.accept = base[: top + 256], check[: top + 256], accept[: top + 256]
+        self.base, self.check = base[: top + 256], check[: top + 256]
+        by_state = np.argsort(ends)
+        self.ends, self.numbers = ends[by_state].astype(np.int32), number[by_state]
 
 
 def accepted(trie: tuple, block: Block, text: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Numbers of the keys found at all word positions, repeats included: every step advances all
     positions whose state is still alive by one byte."""
-    _, roots, base, check, accept = trie
+    _, roots, base, check, ends, numbers = trie
     at = first[block.joined]  # a phrase has a second word
     roots = {lang: roots.get(lang, -1) for lang in set(block.langs)}
     state = block.per_word(roots, np.int64)[block.joined]
@@ -346,8 +378,9 @@ def accepted(trie: tuple, block: Block, text: np.ndarray, first: np.ndarray) ->
         edge = byte <= _SPACE  # cheap test first; words may hold other low bytes
         if edge.any():
             edge = (byte == _SPACE) | (byte == _END)
-            hit = accept[state[edge]]
-            found.append(hit[hit >= 0])
+            reached = state[edge]
+            key = np.minimum(np.searchsorted(ends, reached), len(ends) - 1)
+            found.append(numbers[key[ends[key] == reached]])
         place = base[state] + byte
         alive = (check[place] == state) & (byte != _END)
         state, at = place[alive], at[alive] + 1
@@ -389,19 +422,20 @@ def _tries(shards: DataFrame) -> DataFrame:
                 "langs": pa.array([list(trie.roots)], pa.list_(pa.string())),
                 "base": pa.array([trie.base.tobytes()], pa.binary()),
                 "check": pa.array([trie.check.tobytes()], pa.binary()),
-                "accept": pa.array([trie.accept.tobytes()], pa.binary()),
-                "size": [12 * len(trie.base)],
+                "ends": pa.array([trie.ends.tobytes()], pa.binary()),
+                "numbers": pa.array([trie.numbers.tobytes()], pa.binary()),
+                "size": [8 * (len(trie.base) + len(trie.ends))],
             }
         )
 
-    kinds = "shard long, langs array<string>, base binary, check binary, accept binary, size long"
+    kinds = "shard long, langs array<string>, base binary, check binary, ends binary, numbers binary, size long"
     return shards.groupBy("shard").applyInArrow(run, kinds)
 
 
 def _loaded(row) -> tuple:
-    """``shard, roots, base, check, accept``, without a class, so that tasks need no module to read it."""
+    """``shard, roots, base, check, ends, numbers``, without a class, so that tasks need no module to read it."""
     roots = {lang: 256 + i for i, lang in enumerate(row["langs"])}
-    return (row["shard"], roots, *(np.frombuffer(row[c], np.int32) for c in ("base", "check", "accept")))
+    return (row["shard"], roots, *(np.frombuffer(row[c], np.int32) for c in ("base", "check", "ends", "numbers")))
 
 
 def counted(texts: DataFrame, phrases: DataFrame, trie_bytes: int = TRIE_BYTES, pass_bytes: int = PASS_BYTES) -> DataFrame:
@@ -419,7 +453,7 @@ def counted(texts: DataFrame, phrases: DataFrame, trie_bytes: int = TRIE_BYTES,
         room -= row["size"]
     total: DataFrame | None = None
     for names in passes:
-        chosen = tries.where(F.col("shard").between(names[0], names[-1])).collect()
+        chosen = tries.where(F.col("shard").between(names[0], names[-1])).toLocalIterator()
         known = spark.sparkContext.broadcast([_loaded(r) for r in chosen])
         here = stored(_counts(texts, known), "counts")
         known.destroy()
@@ -433,7 +467,7 @@ def counted(texts: DataFrame, phrases: DataFrame, trie_bytes: int = TRIE_BYTES,
 def _counts(texts: DataFrame, known) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tries = known.value
-        sums = [np.zeros(int(trie[-1].max()) + 1, np.int64) for trie in tries]
+        sums = [np.zeros(len(trie[-1]), np.int64) for trie in tries]
         for block in _blocks(batches):
             if not len(block.starts):
                 continue
