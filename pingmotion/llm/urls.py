@@ -2,8 +2,9 @@
 
 The trees are trained on URLs that the rules label (bounded sample), on lexical features: lengths,
 depth, digit ratio, entropy, parameter counts, and how often hosts with the same last label and the
-same last two labels are blocked in the sample. Trees are grown on binned features by the second-
-order gain of the logistic loss.
+same last two labels are blocked among all labelled URLs. These rates are counted over all rows and
+joined by suffix, so that they do not depend on the sample. Trees are grown on binned features by the
+second-order gain of the logistic loss.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .tables import stored
 from .words import pieces
 
 #: (allow or block, host, path)
@@ -74,14 +76,14 @@ def lexical(urls: pa.Array) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros((0, 8))
 
 
-def _suffixes(hosts: list[str]) -> list[tuple[str, str]]:
-    parts = [h.split(".") for h in hosts]
-    return [(p[-1], ".".join(p[-2:])) for p in parts]
+def _suffix_keys(host: Column) -> list[Column]:
+    """The last label of a host and its last two, as keys of the rates."""
+    return [F.concat(F.lit(f"{n} "), F.substring_index(host, ".", -n)) for n in (1, 2)]
 
 
-def _features(urls: pa.Array, hosts: list[str], rates: dict[str, float], prior: float) -> np.ndarray:
-    known = [[rates.get("1 " + a, prior), rates.get("2 " + b, prior)] for a, b in _suffixes(hosts)]
-    return np.concatenate([lexical(urls), np.array(known, float).reshape(-1, 2), [[len(h)] for h in hosts] or np.zeros((0, 1))], axis=1)
+def _features(urls: pa.Array, hosts: list[str], rates: np.ndarray) -> np.ndarray:
+    lengths = np.array([len(h) for h in hosts], float)
+    return np.concatenate([lexical(urls), np.asarray(rates, float).reshape(-1, 2), lengths.reshape(-1, 1)], axis=1)
 
 
 def _grow(x: np.ndarray, edges: list[np.ndarray], g: np.ndarray, h: np.ndarray) -> tuple:
@@ -120,17 +122,10 @@ def _answer(tree, x: np.ndarray) -> np.ndarray:
     return out
 
 
-def boost(urls: pa.Array, hosts: list[str], y: np.ndarray) -> tuple:
-    """Suffix rates, their prior, the base score and the trees."""
+def boost(urls: pa.Array, hosts: list[str], rates: np.ndarray, y: np.ndarray) -> tuple:
+    """The base score and the trees; ``rates`` has the two suffix rates of each url."""
     prior = float((y.sum() + 1) / (len(y) + 2))
-    sums: dict[str, list[float]] = {}
-    for (a, b), label in zip(_suffixes(hosts), y):
-        for key in ("1 " + a, "2 " + b):
-            s = sums.setdefault(key, [0.0, 0.0])
-            s[0] += label
-            s[1] += 1
-    rates = {key: (s + SMOOTHING * prior) / (n + SMOOTHING) for key, (s, n) in sums.items()}
-    x = _features(urls, hosts, rates, prior)
+    x = _features(urls, hosts, rates)
     edges = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) if len(c) else np.zeros(0) for c in x.T]
     base = float(np.log(prior / (1 - prior)))
     raw, trees = np.full(len(y), base), []
@@ -139,21 +134,44 @@ def boost(urls: pa.Array, hosts: list[str], y: np.ndarray) -> tuple:
         tree = _grow(x, edges, p - y, p * (1 - p))
         trees.append(tree)
         raw += _answer(tree, x)
-    return rates, prior, base, trees
+    return base, trees
+
+
+def suffix_rates(labelled: DataFrame) -> tuple[DataFrame, float]:
+    """``suffix, rate``: how often urls with the suffix are blocked, drawn towards the share of all, which
+    is the rate of suffixes that are not there."""
+    blocked = (F.col("act") == "block").cast("long")
+    total = labelled.agg(F.coalesce(F.sum(blocked), F.lit(0)).alias("s"), F.count("*").alias("n")).first()
+    prior = (total["s"] + 1) / (total["n"] + 2)
+    each = labelled.select(F.explode(F.array(*_suffix_keys(F.col("host")))).alias("suffix"), blocked.alias("blocked"))
+    sums = each.groupBy("suffix").agg(F.sum("blocked").alias("s"), F.count("*").alias("n"))
+    rate = (F.col("s") + F.lit(SMOOTHING * prior)) / (F.col("n") + F.lit(SMOOTHING))
+    return stored(sums.select("suffix", rate.alias("rate")), "suffix-rates"), prior
+
+
+def _with_rates(rows: DataFrame, rates: DataFrame, prior: float) -> DataFrame:
+    """Add ``rate_1`` and ``rate_2`` of each row's host."""
+    for n, key in enumerate(_suffix_keys(F.col("host")), 1):
+        known = rates.select(F.col("suffix").alias("__suffix"), F.col("rate").alias(f"rate_{n}"))
+        rows = rows.join(known, key == F.col("__suffix"), "left").drop("__suffix")
+    return rows.withColumns({f"rate_{n}": F.coalesce(f"rate_{n}", F.lit(prior)) for n in (1, 2)})
 
 
 def train(pages: DataFrame, rules: list[Rule], rows: int = TRAIN_ROWS) -> tuple:
-    """A model from distinct urls that a rule labels, picked by hash. The sample is bounded, so the
-    driver may hold it: an url and its label per row."""
+    """Suffix rates of all distinct urls that a rule labels, and trees from those picked by hash. The
+    sample is bounded, so the driver may hold it: an url, two rates and a label per row."""
     known = pages.select(F.col("url").cast("string").alias("url")).where("url IS NOT NULL").distinct()
     known = known.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
     known = known.withColumn("act", rule_of(F.col("host"), F.col("path"), rules)[1]).where("act IS NOT NULL")
+    known = stored(known.select("url", "host", "act"), "labelled-urls")
+    rates, prior = suffix_rates(known)
     there = known.count()
     if there > rows:
         known = known.where(F.pmod(F.xxhash64("url"), F.lit(1 << 30)) < int((1 << 30) * rows / there))
-    sample = known.select("url", "host", "act").orderBy("url").toPandas()
+    sample = _with_rates(known, rates, prior).orderBy("url").toPandas()
     y = (sample["act"] == "block").to_numpy(float)
-    return boost(pa.array(sample["url"], pa.large_string()), sample["host"].tolist(), y)
+    fitted = boost(pa.array(sample["url"], pa.large_string()), sample["host"].tolist(), sample[["rate_1", "rate_2"]].to_numpy(float), y)
+    return rates, prior, *fitted
 
 
 def judged(pages: DataFrame, rules: list[Rule], model: tuple) -> DataFrame:
@@ -166,18 +184,18 @@ def judged(pages: DataFrame, rules: list[Rule], model: tuple) -> DataFrame:
     rows = rows.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
     rule, act = rule_of(F.col("host"), F.col("path"), rules)
     rows = rows.withColumn("rule", rule).withColumn("act", act)
-    shared = pages.sparkSession.sparkContext.broadcast(model)
+    rates, prior, base, trees = model
+    rows = _with_rates(rows, rates, prior)
 
     @F.pandas_udf("double")
-    def chance(url: pd.Series, host: pd.Series) -> pd.Series:
-        rates, prior, base, trees = shared.value
-        x = _features(pa.array(url, pa.large_string()), host.tolist(), rates, prior)
+    def chance(url: pd.Series, host: pd.Series, rate_1: pd.Series, rate_2: pd.Series) -> pd.Series:
+        x = _features(pa.array(url, pa.large_string()), host.tolist(), np.stack([rate_1, rate_2], axis=1))
         raw = np.full(len(x), base)
         for tree in trees:
             raw += _answer(tree, x)
         return pd.Series(1 / (1 + np.exp(-raw)))
 
-    scored = rows.withColumn("block_score", chance("url", "host"))
+    scored = rows.withColumn("block_score", chance("url", "host", "rate_1", "rate_2"))
     judged_by = F.when(F.col("block_score") >= 0.5, "block").otherwise("allow")
     return scored.select(
         "page_id", "url", "host", "path", "rule", F.coalesce("act", judged_by).alias("verdict"), "block_score"

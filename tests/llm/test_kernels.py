@@ -200,10 +200,11 @@ def test_trees_learn_a_rule():
     hosts = [rng.choice(["a.net", "b.org", "c.com"]) for _ in range(600)]
     names = [f"http://{h}/{'x' * rng.randrange(40)}" for h in hosts]
     y = np.array([float(h == "a.net" or len(n) > 35) for h, n in zip(hosts, names)])
-    rates, prior, base, trees = urls.boost(pa.array(names), hosts, y)
+    rates = np.array([[y[[h == k for k in hosts]].mean()] * 2 for h in hosts])
+    base, trees = urls.boost(pa.array(names), hosts, rates, y)
     raw = np.full(len(y), base)
-    x = urls._features(pa.array(names), hosts, rates, prior)
+    x = urls._features(pa.array(names), hosts, rates)
     for tree in trees:
         raw += urls._answer(tree, x)
     assert ((raw > 0) == (y == 1)).mean() > 0.97
-    assert urls.boost(pa.array([], pa.string()), [], np.zeros(0))[3] == []
+    assert urls.boost(pa.array([], pa.string()), [], np.zeros((0, 2)), np.zeros(0))[1] == []
