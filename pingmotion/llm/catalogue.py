@@ -171,6 +171,9 @@ ORACLES: dict[str, str] = {
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
           SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
         ) WHERE rank <= 5""",
+    # similar pairs that the signatures miss, fewer than one in 100,000, would differ here
+    "op1_near_duplicates": oracles.NEAR,
+    "op8_warc": oracles.WARC,
     "op11_merkle_manifest": oracles.MERKLE,
     "op12_phrases": oracles.PHRASES,
     "op13_exact_duplicates": oracles.EXACT,

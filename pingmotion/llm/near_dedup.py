@@ -8,21 +8,24 @@ that distance meet under an equal key. ``chunks`` is chosen so that a pair at th
 threshold exceeds the distance with a probability below ``miss``. Whatever meets is confirmed on
 the full sets.
 
-Scale. Equal sets fold to one representative first, by pre-aggregation. Keys of one member drop
-out by a pre-aggregated count. A pair is looked at under the first key it shares only. Keys with
-many members are not paired with one another: a few members picked by hash are compared with all,
-linked groups are contracted, and only members of different groups are compared after that, block
-against block inside tasks, so that no link between groups is lost and no group is expanded into
-pairs. Texts are moved only for documents that take part in a candidate pair.
+Scale. Equal sets fold to one node first, by pre-aggregation. Keys of one member drop out by a
+pre-aggregated count. Members of a key are never paired with one another but with a centre,
+picked by hash so that the same node is the centre of many keys: first each node with one centre
+only, then, in keys that still hold several components, all members with their centre, which then
+leaves the key. So a round makes at most as many pairs as there are members, and a group of near copies, which
+its centre holds together, is done after the first. What is still apart after a few rounds shares
+keys without being linked, as texts with a common passage do. Such nodes meet again under their rarest
+shingles: of ``n`` shingles the ``(1 - t) n + 1`` rarest, of which any pair at similarity ``t`` has one in
+common, early enough in the order that what follows can make up the similarity. Common passages are
+not among them. There the number of centres grows from round to round until every pair under
+a common rare shingle is linked or was compared, so no link is lost.
 """
-
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import comb
+from math import ceil, comb
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,12 +37,12 @@ from .tables import bitmap, marked, small_batches, stored
 SHINGLE_WORDS = 5
 PER_CHUNK = 5
 VALUE_BITS = 12
-#: keys with at most so many members pair all of them at once
-SMALL_KEY = 64
-#: of larger keys, so many members on average are compared with all at first
-PIVOTS = 12
-#: documents of a block, of which two meet in a task, where larger keys are still apart
-BLOCK_DOCS = 200
+#: rounds under signature keys before what is still apart meets under rare shingles
+KEY_ROUNDS = 1
+#: how the number of centres grows from round to round there
+GROWTH = 4
+#: buckets in which shingles are counted to tell rare ones
+RARITY_BUCKETS = 1 << 22
 
 _U = np.uint64
 _LANE = (1 << VALUE_BITS) - 1
@@ -105,12 +108,11 @@ def signatures(docs: DataFrame, chunks: int) -> DataFrame:
 
 
 def index_keys(sets: DataFrame, chunks: int) -> DataFrame:
-    """``key, entry, rep``: every chunk with each of its values left out in turn."""
+    """``key, node``: every chunk with each of its values left out in turn."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         holes = np.array([~(_LANE << (VALUE_BITS * h)) & (2**64 - 1) for h in range(PER_CHUNK)], np.uint64)
         salt = W.mix(np.arange(1, chunks * PER_CHUNK + 1, dtype=np.uint64)).reshape(chunks, PER_CHUNK)
-        entry = np.arange(chunks * PER_CHUNK, dtype=np.int16)
         for batch in batches:
             for at in range(0, len(batch), 1000):
                 part = batch.slice(at, 1000)
@@ -119,13 +121,12 @@ def index_keys(sets: DataFrame, chunks: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(keys.view(np.int64)),
-                        pa.array(np.tile(entry, len(part))),
-                        pa.array(np.repeat(part["rep"].to_numpy(), len(entry))),
+                        pa.array(np.repeat(part["node"].to_numpy(), chunks * PER_CHUNK)),
                     ],
-                    ["key", "entry", "rep"],
+                    ["key", "node"],
                 )
 
-    return sets.select("rep", "sig").mapInArrow(run, "key long, entry short, rep long")
+    return sets.select("node", "sig").mapInArrow(run, "key long, node long")
 
 
 def _matrix(column: pa.Array, chunks: int) -> np.ndarray:
@@ -141,200 +142,279 @@ def _differing(x: np.ndarray) -> np.ndarray:
     return (x | (x >> _U(4)) | (x >> _U(8))) & _U(_LANES)
 
 
-def _candidates(members: DataFrame, chunks: int, similarity: float) -> DataFrame:
-    """Pairs ``a < b`` of members with pivots of the same key, of different groups, within the
-    distance, of sizes that allow the similarity, each under the first key that it shares."""
-    p = members.where("pivot").select("key", *[F.col(c).alias(f"p_{c}") for c in ("rep", "group", "size", "sig")])
-    apart = (
-        (F.col("group") != F.col("p_group"))
-        & ~(F.col("pivot") & (F.col("rep") >= F.col("p_rep")))
-        & (F.least("size", "p_size") >= similarity * F.greatest("size", "p_size") - 1e-6)
-    )
+def _within_distance(pairs: DataFrame, chunks: int) -> DataFrame:
+    """Those of ``pairs(a, b, sig_a, sig_b)`` whose signatures are within the distance."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not len(batch):
-                continue
-            bits = _differing(_matrix(batch["sig"], chunks) ^ _matrix(batch["p_sig"], chunks))
-            counts = np.bitwise_count(bits)
-            chunk, hole = np.divmod(batch["entry"].to_numpy().astype(np.int64), PER_CHUNK)
-            rows = np.arange(len(batch))
-            first = np.argmax(counts <= 1, axis=1) == chunk
-            keep = (
-                (counts.sum(axis=1) <= 2 * chunks - 1)
-                & first
-                & ((counts[rows, chunk] > 0) | (hole == 0))
-            )
-            rep, other = batch["rep"].to_numpy()[keep], batch["p_rep"].to_numpy()[keep]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(rep, other)), pa.array(np.maximum(rep, other))], ["a", "b"]
-            )
+            if len(batch):
+                bits = _differing(_matrix(batch["sig_a"], chunks) ^ _matrix(batch["sig_b"], chunks))
+                keep = pa.array(np.bitwise_count(bits).sum(axis=1) <= 2 * chunks - 1)
+                yield pa.RecordBatch.from_arrays([batch["a"].filter(keep), batch["b"].filter(keep)], ["a", "b"])
 
-    met = members.join(p, "key").where(apart).select("rep", "p_rep", "entry", "sig", "p_sig")
-    return met.mapInArrow(run, "a long, b long")
+    return pairs.mapInArrow(run, "a long, b long")
 
 
 def _sets_of(column: pa.Array) -> Iterator[np.ndarray]:
+    """The shingles of each text, in order."""
     for first, end, data, offsets in W.pieces(column):
         starts, ends, ptr = W.word_spans(data, offsets)
         values, text = W.distinct_per_text(
             *W.shingles(W.word_hashes(data, starts, ends), ptr, SHINGLE_WORDS)
         )
-        cuts = np.searchsorted(text, np.arange(end - first + 1))
-        for row in range(end - first):
-            yield values[cuts[row] : cuts[row + 1]]
+        yield from np.split(values, np.searchsorted(text, np.arange(1, end - first)))
+
 
+def shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node, set``: the shingles of the nodes, as sorted 64-bit numbers in bytes.
 
-def _texts_of(docs: DataFrame, ends: DataFrame) -> DataFrame:
-    """``doc_id, text`` once for each id of ``ends``; other texts stay where they are."""
+    ``nodes`` has ``node, rep`` and the digest of its set; a doc_id may stand for several texts, of which
+    the one with that digest is taken. Texts of other documents stay where they are.
+    """
     texts = (
         docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-        .withColumn("bits", bitmap(ends, "doc_id").scalar())
+        .withColumn("bits", bitmap(nodes, "rep").scalar())
         .where(marked(F.col("bits"), F.col("doc_id")))
         .drop("bits")
-        .join(ends, "doc_id", "left_semi")
     )
-    texts = stored(texts, "texts")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, sets, held = [], [], 0
+
+            def packed() -> pa.RecordBatch:
+                size, d1, d2 = (pa.array(column, pa.int64()) for column in zip(*[(len(x), *_digest(x)) for x in sets]))
+                ids = batch["doc_id"].take(pa.array(rows, pa.int64()))
+                return pa.RecordBatch.from_arrays(
+                    [ids, size, d1, d2, pa.array([x.tobytes() for x in sets], pa.binary())],
+                    ["rep", "n_shingles", "d1", "d2", "set"],
+                )
+
+            for row, values in enumerate(_sets_of(batch["text"])):
+                rows.append(row)
+                sets.append(values)
+                held += len(values)
+                if held > 500_000:
+                    yield packed()
+                    rows, sets, held = [], [], 0
+            if rows:
+                yield packed()
+
+    read = texts.mapInArrow(run, "rep long, n_shingles long, d1 long, d2 long, set binary")
+    found = stored(read.join(nodes, ["rep", "n_shingles", "d1", "d2"]).select("node", "set"), "shingle-sets")
     # a representative may stand in the table more than once
-    if texts.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        texts = stored(texts.groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
-    return texts
+    if found.groupBy("node").count().where("count > 1").limit(1).count():
+        found = stored(found.groupBy("node").agg(F.min("set").alias("set")), "shingle-sets")
+    return found
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+def _digest(values: np.ndarray) -> tuple[int, int]:
+    """The digest of a set as ``signatures`` computes it."""
+    if not len(values):
+        return 0, 0
+    both = np.array([np.add.reduce(values), np.add.reduce(W.mix(values ^ _U(0xA5A5A5A5)))])
+    first, second = both.view(np.int64).tolist()
+    return first, second
+
+
+def confirmed(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full shingle sets have ``100 * intersection >= percent * union``."""
-    pairs = stored(pairs, "pairs")
-    texts = _texts_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    met = pairs.join(right, "b").join(left, "a")
+    left = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
+    right = sets.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            # equal neighbours of the sorted side are read once
-            names = batch["a"].to_numpy()
-            new = np.ones(len(names), bool)
-            new[1:] = names[1:] != names[:-1]
-            sets_a = _sets_of(batch["text_a"].filter(pa.array(new)))
-            mine = None
-            for fresh, other in zip(new, _sets_of(batch["text_b"])):
-                mine = next(sets_a) if fresh else mine
-                both = len(np.intersect1d(mine, other, assume_unique=True))
-                keep.append(100 * both >= percent * (len(mine) + len(other) - both) and both > 0)
+            for x, y in zip(batch["set_a"], batch["set_b"]):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch["a"].filter(mask), batch["b"].filter(mask)], ["a", "b"])
 
-    return met.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    met = pairs.join(right, "b").join(left, "a")
+    return met.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
-def _links_in_blocks(docs: DataFrame, members: DataFrame, chunks: int, percent: int) -> DataFrame:
-    """Links ``node, component`` between different groups that share a key of many members.
+class _Linking:
+    """The state of a run: nodes, what is known of their components, and how pairs are looked at."""
 
-    Members that such keys chain together form a cluster. Its documents are dealt into blocks of
-    about ``BLOCK_DOCS``, and two blocks at a time meet in one task with their texts: memory is
-    bounded by two blocks, no pair leaves a task unless it is a link, and blocks of one group do
-    not meet each other, since their documents are connected already.
-    """
-    least = members.groupBy("key").agg(F.min("rep").alias("least"))
-    chained = components(members.join(least, "key").select("rep", "least").distinct(), "rep", "least")
-    each = members.select("rep", "group", "sig").dropDuplicates(["rep"])
-    each = each.join(chained, F.col("rep") == F.col("node"), "left").select(
-        F.coalesce("component", "rep").alias("cluster"), "rep", "group", "sig"
-    )
-    each = stored(each, "clusters")
-    sizes = each.groupBy("cluster", "group").agg(F.count("*").alias("n"))
-    rest = sizes.where(f"n <= {BLOCK_DOCS}").groupBy("cluster").agg(F.sum("n").alias("small"))
-    sizes = sizes.join(rest, "cluster", "left")
-    large = F.col("n") > BLOCK_DOCS
-    dealt = (
-        each.join(sizes, ["cluster", "group"])
-        .withColumn("owner", F.when(large, F.col("group")).otherwise(F.lit(-1)))
-        .withColumn("of", F.when(large, F.col("n")).otherwise(F.col("small")))
-        .withColumn(
-            "part",
-            F.pmod(F.xxhash64(F.when(large, F.col("rep")).otherwise(F.col("group"))), F.ceil(F.col("of") / BLOCK_DOCS)),
+    def __init__(self, docs: DataFrame, nodes: DataFrame, percent: int, chunks: int):
+        self.docs, self.nodes, self.percent, self.chunks = docs, nodes, percent, chunks
+        self.groups = docs.sparkSession.createDataFrame([], "node long, component long")
+        #: pairs compared on full sets, for tests
+        self.compared: list[int] = []
+
+    def mixed(self, members: DataFrame) -> DataFrame:
+        """Members of the keys that hold several components, with ``group``, the key's size ``n`` and
+        its smallest ``spot`` as ``least``."""
+        grouped = members.join(self.groups, "node", "left").select(
+            *members.columns, F.coalesce("component", "node").alias("group")
         )
-        .select("cluster", "rep", "group", "sig", F.struct("owner", "part").alias("block"))
-    )
-    blocks = dealt.select("cluster", "block", F.col("block.owner").alias("owner")).distinct()
-    other = blocks.select("cluster", F.col("block").alias("block2"), F.col("owner").alias("owner2"))
-    duties = blocks.join(other, "cluster").where(
-        (F.col("block") <= F.col("block2")) & ((F.col("owner") != F.col("owner2")) | (F.col("owner") == -1))
-    )
-    duties = duties.select(
-        "cluster",
-        F.xxhash64("cluster", "block", "block2").alias("duty"),
-        F.explode(F.array_distinct(F.array("block", "block2"))).alias("block"),
-    )
-    texts = _texts_of(docs, dealt.select(F.col("rep").alias("doc_id")).distinct())
-    work = dealt.join(texts, F.col("rep") == F.col("doc_id")).join(duties, ["cluster", "block"])
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rep").reset_index(drop=True)
-        sets = list(_sets_of(pa.array(pdf["text"], pa.large_string())))
-        sig = _matrix(pa.array(pdf["sig"], pa.binary()), chunks)
-        rep, group = pdf["rep"].tolist(), pdf["group"].to_numpy()
-        size = np.array([len(s) for s in sets])
-        parent: dict[int, int] = {}
-
-        def root(x: int) -> int:
-            while x in parent:
-                x = parent[x]
-            return x
-
-        found = []
-        for i in range(1, len(rep)):
-            counts = np.bitwise_count(_differing(sig[:i] ^ sig[i]))
-            near = (
-                (counts.min(axis=1) <= 1)
-                & (counts.sum(axis=1) <= 2 * chunks - 1)
-                & (group[:i] != group[i])
-                & (100 * np.minimum(size[:i], size[i]) >= percent * np.maximum(size[:i], size[i]))
-            )
-            for j in np.flatnonzero(near):
-                x, y = root(int(group[i])), root(int(group[j]))
-                if x == y:
-                    continue
-                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if 100 * both >= percent * (size[i] + size[j] - both):
-                    parent[max(x, y)] = min(x, y)
-                    found.append((rep[i], rep[j]))
-        return pd.DataFrame(found, columns=["node", "component"]).astype("int64")
-
-    return work.groupBy("duty").applyInPandas(run, "node long, component long")
-
-
-def _grouped(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Signatures of all rows, the distinct sets, and the components of linked sets."""
-    similarity = percent / 100
-    chunks = chunks_needed(similarity)
-    rows = stored(signatures(docs, chunks), "signatures")
-    known = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    sets = stored(
-        known.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")),
-        "sets",
-    )
-    keys = index_keys(sets, chunks)
-    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    members = stored(
-        keys.join(shared, "key").join(sets.select("rep", F.col("n_shingles").alias("size"), "sig"), "rep"),
-        "members",
-    )
-    spot = F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) / float(1 << 30)
-    first = members.withColumn("group", F.col("rep")).withColumn(
-        "pivot", (F.col("n") <= SMALL_KEY) | (spot < PIVOTS / F.col("n"))
+        grouped = stored(grouped, "grouped")
+        keys = grouped.groupBy("key").agg(
+            F.count("*").alias("n"), F.min("spot").alias("least"), F.min("group").alias("lo"), F.max("group").alias("hi"),
+            *([F.max(_self_reaching(self.percent)).alias("reached")] if "at" in members.columns else []),
+        )
+        if "reached" in keys.columns:
+            keys = keys.where("reached").drop("reached")
+        # written, so that both sides of the join are plain shuffles and a hot key can be split
+        keys = stored(keys.where("lo < hi").drop("lo", "hi"), "mixed-keys")
+        return stored(grouped.join(keys, "key"), "mixed")
+
+    def link(self, pairs: DataFrame, near: bool, sets: DataFrame | None = None) -> None:
+        """Compare the pairs ``a, b`` of nodes and join the components of those that are similar."""
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        facts = self.nodes.select("node", "n_shingles", "sig")
+        left = facts.select(F.col("node").alias("a"), F.col("n_shingles").alias("size_a"), F.col("sig").alias("sig_a"))
+        right = facts.select(F.col("node").alias("b"), F.col("n_shingles").alias("size_b"), F.col("sig").alias("sig_b"))
+        least, most = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
+        pairs = stored(pairs, "pairs").join(left, "a").join(right, "b").where(100 * least >= self.percent * most)
+        if near:
+            pairs = _within_distance(pairs.select("a", "b", "sig_a", "sig_b"), self.chunks)
+        pairs = stored(pairs.select("a", "b"), "candidates")
+        self.compared.append(pairs.count())
+        if not self.compared[-1]:
+            return
+        if sets is None:
+            ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+            ends = stored(ends.join(self.nodes, "node").drop("sig"), "ends")
+            sets = shingle_sets(self.docs, ends)
+        found = stored(confirmed(sets, pairs, self.percent), "links")
+        if not found.limit(1).count():
+            return
+        named = self.groups
+        for end in ("a", "b"):
+            found = found.join(named.select(F.col("node").alias(end), F.col("component").alias(f"{end}_of")), end, "left")
+        found = found.select(F.coalesce("a_of", "a").alias("a"), F.coalesce("b_of", "b").alias("b"))
+        joined = components(found, "a", "b")
+        # nodes under a component that has joined another, and the component's own node
+        moved = named.join(joined.select(F.col("node").alias("component"), F.col("component").alias("now")), "component", "left")
+        moved = moved.select("node", F.coalesce("now", "component").alias("component"))
+        self.groups = stored(moved.union(joined), "groups")
+
+
+def _self_reaching(percent: int):
+    """Whether a set of the same size could be similar, if this shingle is the first of the order that
+    the two have in common. Of a similar pair the smaller set is such a member of the first common key."""
+    return (100 + percent) * (F.col("size") - F.col("at")) >= 2 * percent * F.col("size")
+
+
+def _with_centres(live: DataFrame, centres: int, percent: int = 0) -> tuple[DataFrame, DataFrame]:
+    """Pairs ``a, b`` of each member with the centres of its key that are in other components, and the
+    members that remain: a centre has then met all other members of its key. Where members have the place
+    ``at`` of the key in the order of their set, pairs that have too little left behind it are left out:
+    if they are similar, they have met under an earlier key."""
+    is_centre = (F.col("spot") == F.col("least")) | (F.col("spot") < F.lit(float(centres)) / F.col("n"))
+    live = live.withColumn("centre", is_centre)
+    placed = [c for c in ("size", "at") if c in live.columns]
+    them = live.where("centre").select(
+        "key", F.col("node").alias("b"), F.col("group").alias("b_group"), *[F.col(c).alias(f"b_{c}") for c in placed]
     )
-    found = confirmed(docs, _candidates(first, chunks, similarity), percent)
-    groups = components(found, "a", "b")
-    many = members.where(f"n > {SMALL_KEY}").join(groups, F.col("rep") == F.col("node"), "left")
-    many = many.select("key", "rep", "sig", F.coalesce("component", "rep").alias("group"))
-    mixed = many.groupBy("key").agg(F.min("group").alias("lo"), F.max("group").alias("hi"))
-    apart = stored(many.join(mixed.where("lo < hi").select("key"), "key", "left_semi"), "apart")
-    if apart.limit(1).count():
-        late = stored(_links_in_blocks(docs, apart, chunks, percent), "late")
-        groups = components(groups.union(late), "node", "component")
-    return rows, sets, groups
+    apart = (F.col("group") != F.col("b_group")) & (~F.col("centre") | (F.col("node") < F.col("b")))
+    if placed:
+        left = F.least(F.col("size") - F.col("at"), F.col("b_size") - F.col("b_at"))
+        apart = apart & ((100 + percent) * left >= percent * (F.col("size") + F.col("b_size")))
+    pairs = live.join(them, "key").where(apart)
+    return pairs.select(F.col("node").alias("a"), "b"), live.where("NOT centre")
+
+
+def _one_centre_each(live: DataFrame) -> DataFrame:
+    """Each member with the one centre of its keys that has the smallest spot."""
+    them = live.where(F.col("spot") == F.col("least")).select("key", F.struct(F.col("least").alias("at"), F.col("node").alias("b"), F.col("group").alias("b_group")).alias("c"))
+    best = live.join(them, "key").groupBy(F.col("node").alias("a"), "group").agg(F.min("c").alias("c"))
+    return best.where(F.col("group") != F.col("c.b_group")).select("a", F.col("c.b").alias("b"))
+
+
+def _rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
+    """``key, node, size, at``: of every set the shingles that are rarest among these sets, so many that two sets of
+    the wanted similarity cannot do without a common one. Rarity is counted in buckets; any order of
+    the shingles would be right, and all sets use the same."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(RARITY_BUCKETS, np.int64)
+        for batch in batches:
+            for value in batch["set"]:
+                np.add.at(counts, _bucket(np.frombuffer(value.as_buffer(), np.uint64)), 1)
+        for at in range(0, RARITY_BUCKETS, 1 << 16):
+            part = counts[at : at + (1 << 16)]
+            if part.any():
+                row = [pa.array([at], pa.int64()), pa.array([np.minimum(part, 2**31 - 1).astype(np.int32).tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(row, ["block", "counts"])
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, counts in zip(batch["block"].to_pylist(), batch["counts"].to_pylist()):
+                sums[block] = sums.get(block, 0) + np.frombuffer(counts, np.int32).astype(np.int64)
+        for block, counts in sums.items():
+            row = [pa.array([block], pa.int64()), pa.array([np.minimum(counts, 2**31 - 1).astype(np.int32).tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(row, ["block", "counts"])
+
+    kinds = "block long, counts binary"
+    summed = sets.mapInArrow(count, kinds).repartition("block").mapInArrow(total, kinds)
+    table = np.zeros(RARITY_BUCKETS, np.int32)
+    for row in summed.toLocalIterator():  # RARITY_BUCKETS numbers, however many sets there are
+        table[row["block"] : row["block"] + (1 << 16)] = np.frombuffer(row["counts"], np.int32)
+    known = sets.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = known.value
+        for batch in batches:
+            keys = [np.zeros(0, np.uint64)]
+            nodes, sizes, places = ([np.zeros(0, np.int64)] for _ in range(3))
+            for node, value in zip(batch["node"].to_pylist(), batch["set"]):
+                shingles = np.frombuffer(value.as_buffer(), np.uint64)
+                n = len(shingles) - ceil(percent * len(shingles) / 100) + 1
+                rare = np.lexsort((shingles, often[_bucket(shingles)]))[:n]
+                keys.append(shingles[rare])
+                nodes.append(np.full(len(rare), node))
+                sizes.append(np.full(len(rare), len(shingles)))
+                places.append(np.arange(len(rare)))
+            columns = [np.concatenate(keys).view(np.int64), *map(np.concatenate, (nodes, sizes, places))]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["key", "node", "size", "at"])
+
+    return sets.mapInArrow(run, "key long, node long, size long, at long")
+
+
+def _bucket(shingles: np.ndarray) -> np.ndarray:
+    return (shingles & _U(RARITY_BUCKETS - 1)).astype(np.int64)
+
+
+def _spot():
+    """A place in [0, 1) that depends on the node only."""
+    return F.pmod(F.xxhash64("node"), F.lit(1 << 40)) / float(1 << 40)
+
+
+def linked(docs: DataFrame, nodes: DataFrame, percent: int, chunks: int) -> _Linking:
+    """Link the nodes ``node, rep, d1, d2, n_shingles, sig``."""
+    state = _Linking(docs, nodes, percent, chunks)
+    keys = index_keys(nodes, chunks)
+    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    members = stored(keys.join(shared, "key").withColumn("spot", _spot()), "members")
+    live = state.mixed(members)
+    state.link(_one_centre_each(live), near=True)
+    for _ in range(KEY_ROUNDS):
+        live = state.mixed(live.select("key", "node", "spot"))
+        if not live.limit(1).count():
+            return state
+        pairs, rest = _with_centres(live, 0)
+        state.link(pairs, near=True)
+        live = rest
+    apart = state.mixed(live.select("key", "node", "spot")).select("node").distinct()
+    apart = stored(apart.join(nodes, "node").drop("sig"), "apart")
+    if not apart.limit(1).count():
+        return state
+    sets = shingle_sets(docs, apart)
+    live = stored(_rare_shingles(sets, percent).withColumn("spot", _spot()), "rare")
+    centres = 2
+    while True:
+        live = state.mixed(live.select("key", "node", "spot", "size", "at"))
+        if not live.limit(1).count():
+            return state
+        pairs, live = _with_centres(live, centres, percent)
+        state.link(pairs, near=False, sets=sets)
+        centres *= GROWTH
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -343,19 +423,49 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     ``component_id`` is the smallest doc_id that links reach, itself included; ``kept`` marks that
     document. Null and empty texts, and texts of white space, have an empty set and stand alone.
     Rows without doc_id have no component and are kept. Repeated rows of one doc_id are one
-    document and each is returned; if their texts differ, each text is linked under that id. Other
-    columns are not looked at. An empty table gives an empty result.
+    document and each is returned; if their texts differ, each text is linked under that id, and all of the
+    id's rows are one component. Other columns are not looked at. An empty table gives an empty result.
     """
+    chunks = chunks_needed(percent / 100)
     with small_batches(docs.sparkSession):
-        rows, sets, groups = _grouped(docs, percent)
-    # documents with the set of a representative, and the representative's component
-    named = sets.join(groups, F.col("rep") == F.col("node"), "left").select(
-        "d1", "d2", "n_shingles", F.coalesce("component", "rep").alias("set_component")
+        rows = stored(signatures(docs, chunks), "signatures")
+        known = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
+        nodes = known.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
+        nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+        groups = linked(docs, nodes, percent, chunks).groups
+    named = nodes.join(groups, "node", "left").select(
+        "d1", "d2", "n_shingles", "rep", F.coalesce("component", "node").alias("component")
     )
-    placed = rows.join(named, ["d1", "d2", "n_shingles"], "left").select(
-        "doc_id", "n_shingles", F.coalesce("set_component", "doc_id").alias("component_id")
+    placed = rows.join(named, ["d1", "d2", "n_shingles"], "left").select("doc_id", "n_shingles", "component")
+    return _named(placed, named)
+
+
+def _named(placed: DataFrame, named: DataFrame) -> DataFrame:
+    """Rows of ``placed(doc_id, n_shingles, component)`` under the smallest doc_id of their component.
+
+    A doc_id that stands for several texts connects their components.
+    """
+    placed, named = stored(placed, "placed"), stored(named, "named")
+    several = placed.where("component IS NOT NULL").groupBy("doc_id").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi")
     )
-    return placed.select(
+    several = stored(several.where("lo < hi").select("doc_id", "lo"), "several")
+    if several.limit(1).count():
+        joined = components(placed.join(several, "doc_id").select("component", "lo"), "component", "lo")
+        joined = joined.withColumnRenamed("node", "was").withColumnRenamed("component", "now")
+        placed, named = (
+            stored(
+                t.join(joined, F.col("component") == F.col("was"), "left")
+                .withColumn("component", F.coalesce("now", "component"))
+                .drop("was", "now"),
+                "renamed",
+            )
+            for t in (placed, named)
+        )
+    # written, so that both sides of the join are plain shuffles and a large component can be split
+    ids = stored(named.groupBy("component").agg(F.min("rep").alias("component_id")), "component-ids")
+    found = placed.join(ids, "component", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    return found.select(
         "doc_id",
         "n_shingles",
         "component_id",

@@ -1,5 +1,41 @@
 """DuckDB SQL of the operators that SQL can express, stated from their rules."""
 
+NEAR = r"""
+WITH RECURSIVE lists AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS list FROM documents),
+words AS (SELECT doc_id, len(list) AS n, unnest(list) AS w, unnest(range(len(list))) AS i FROM lists),
+runs AS (
+  SELECT doc_id, n, i, concat_ws(' ', w, lead(w, 1) OVER p, lead(w, 2) OVER p, lead(w, 3) OVER p, lead(w, 4) OVER p) AS shingle
+  FROM words WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
+shingles AS (SELECT DISTINCT doc_id, shingle FROM runs WHERE i = 0 OR i <= n - 5),
+sizes AS (SELECT doc_id, count(*) AS size FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * n >= 85 * (x.size + y.size - n)),
+reach AS (
+  SELECT doc_id, doc_id AS seen FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.seen),
+named AS (SELECT doc_id, min(seen) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(s.size, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d JOIN named c USING (doc_id) LEFT JOIN sizes s USING (doc_id)
+"""
+
+WARC = r"""
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+first AS (SELECT html, min(page_id) AS first_id FROM payloads GROUP BY html)
+SELECT page_id, strlen(p.html) AS payload_bytes,
+  array_to_string(flatten(list_transform(range(8), lambda g: list_transform([15, 10, 5, 0], lambda s:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((CAST('0x' || substr(hex, CAST(5 * g + 1 AS BIGINT), 5) AS INTEGER) >> s) & 31) + 1)::BIGINT, 1)))), '') AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM payloads p JOIN first f ON f.html = p.html
+"""
+
 MERKLE = r"""
 WITH RECURSIVE now_text AS (
   SELECT *, CASE WHEN

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from threading import RLock
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,18 +18,22 @@ from ..sources.scratch import new_folder
 BITMAP_SLOTS = 1 << 22
 
 
+_batch_lock = RLock()  # the setting is the session's, and threads may share one
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
     """Texts go to Python tasks so many rows at a time while steps run in here. A batch is held
     by the executor, by Arrow and by the worker at once, and the default is ten times as long.
     Results do not depend on it."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+    with _batch_lock:
+        before = spark.conf.get(name)
+        spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+        try:
+            yield
+        finally:
+            spark.conf.set(name, before)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

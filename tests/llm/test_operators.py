@@ -116,9 +116,7 @@ def test_components_equal_brute_force(spark, percent):
 
 def test_large_keys_lose_no_link(spark, monkeypatch):
     """With tiny limits nearly all links are found by pivots and blocks."""
-    monkeypatch.setattr(near_dedup, "SMALL_KEY", 3)
-    monkeypatch.setattr(near_dedup, "PIVOTS", 1)
-    monkeypatch.setattr(near_dedup, "BLOCK_DOCS", 7)
+    monkeypatch.setattr(near_dedup, "KEY_ROUNDS", 0)
     rng, words, texts = random.Random(3), prose(100, 77), []
     for i in range(90):
         copy = list(words)
@@ -143,7 +141,9 @@ def test_near_duplicates_edges(spark, docs):
     assert near_dedup.near_duplicates(docs.limit(0), 85).count() == 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [0, 1 << 18])
+def test_components(spark, monkeypatch, few):
+    monkeypatch.setattr("pingmotion.llm.components.ONE_TASK_EDGES", few)
     chain = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (101, 100), (7, 7)]
     got = dict(components(spark.createDataFrame(chain, "a long, b long"), "a", "b").collect())
     assert got == {**{i: 0 for i in range(1, 41)}, 101: 100}
@@ -414,6 +414,29 @@ def test_short_leaks(spark):
 # urls
 
 
+def test_suffix_rates_cover_all_rows_whatever_the_sample(spark):
+    hosts = ["a.net", "b.net", "example.net", "x.org", "y.org", "de.example.com"]
+    rows = [(i, f"http://{hosts[i % 6]}/{['en', 'fr', 'de'][i % 7 % 3]}/{i}") for i in range(600)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    plain: dict[str, list[int]] = {}
+    labelled = 0
+    for r in urls.judged(pages, catalogue.URL_RULES, urls.train(pages, catalogue.URL_RULES)).where("rule IS NOT NULL").collect():
+        labelled += 1
+        for n in (1, 2):
+            plain.setdefault(f"{n} " + ".".join(r["host"].split(".")[-n:]), []).append(int(r["verdict"] == "block"))
+    prior = (sum(v for k, x in plain.items() if k[0] == "1" for v in x) + 1) / (labelled + 2)
+    for bound in (10, 20_000):
+        rates, got_prior, _, trees = urls.train(pages, catalogue.URL_RULES, bound)
+        assert got_prior == pytest.approx(prior) and trees
+        got = {r["suffix"]: r["rate"] for r in rates.collect()}
+        assert got == pytest.approx({k: (sum(v) + 5 * prior) / (len(v) + 5) for k, v in plain.items()})
+    # repeated rows change nothing
+    once = sorted(map(tuple, urls.judged(pages, catalogue.URL_RULES, urls.train(pages, catalogue.URL_RULES, 50)).collect()))
+    more = pages.union(pages.withColumn("page_id", F.col("page_id") + 1000))
+    twice = urls.judged(more, catalogue.URL_RULES, urls.train(more, catalogue.URL_RULES, 50)).where("page_id < 1000")
+    assert sorted(map(tuple, twice.collect())) == once
+
+
 def test_url_rules(spark):
     cases = {
         None: ("", "", None), "": ("", "", None), "no scheme": ("", "", None), "http://A.Net": ("a.net", "", None),
