@@ -222,7 +222,7 @@ def test_a_condition_on_path_levels_skips_directories(spark, tmp_path):
     for where, files in ((F.col("h") == 5, 9), (F.col("day") >= "2018-10-11", 6), (F.col("day").isNull(), 6),
                          ((F.col("country") == "a b%") & (F.col("h") > 5), 3), (F.col("h") > 9, 0)):
         some = read_slices(spark, base, levels, body, types, where=where)
-        assert len(some.inputFiles()) == files
+        assert len({f.rsplit("/", 1)[0] for f in some.inputFiles()}) == files
         assert ids(some) == ids(whole.where(where))
     index = slice_index(spark, base, {"country": ["us"], "day": None, "h": ["06"]}, types)
     assert sorted((r.country, str(r.day), r.h) for r in index.collect()) == [
@@ -232,4 +232,4 @@ def test_a_condition_on_path_levels_skips_directories(spark, tmp_path):
     spark.range(3).selectExpr("id", "id AS k", "if(id = 1, null, 'p/q') AS v").write.partitionBy("k", "v").orc(str(tmp_path / "named"))
     named = {"k": None, "v": None}
     got = read_slices(spark, str(tmp_path / "named"), named, T._parse_datatype_string("id long"), {"k": "int"}, named=named, where=F.col("v").isNull())
-    assert len(got.inputFiles()) == 1 and [(r.id, r.k, r.v) for r in got.collect()] == [(1, 1, None)]
+    assert len({f.rsplit("/", 1)[0] for f in got.inputFiles()}) == 1 and [(r.id, r.k, r.v) for r in got.collect()] == [(1, 1, None)]
