@@ -39,11 +39,12 @@ BLANKS = b" \t"
 BUCKETS = 1 << 26
 #: buckets whose counts travel together
 STRETCH = 1 << 16
-#: words and phrases that a task remembers before it sends them on
+#: words that a task counts before it sends them on, and phrases, by their hashes, that it knows it has sent
 HELD = 300_000
+HASHES_HELD = 4_000_000
 #: bytes of phrases in a trie, and of the arrays of the tries of one pass
 TRIE_BYTES = 3 << 20
-PASS_BYTES = 32 << 20
+PASS_BYTES = 48 << 20
 #: longer words stand in tries by their digest, so that a trie has few levels
 LONG_WORD = 40
 
@@ -82,9 +83,15 @@ class Block:
         salts = {lang: _salt(lang) for lang in set(self.langs)}
         return W.mix(W.word_hashes(self.data, self.starts, self.ends, lower=False) ^ self.per_word(salts, np.uint64))
 
-    def phrase(self, word: int, length: int) -> bytes:
-        data = self.data
-        return b" ".join(data[self.starts[i] : self.ends[i]].tobytes() for i in range(word, word + length))
+    def phrases(self, words: np.ndarray, length: int) -> pa.Array:
+        """The phrases of so many words that begin at these words of the block."""
+        text, first = self._spaced(self.data, self.starts, self.ends - self.starts)
+        begin, stop = first[words], np.append(first, len(text))[words + length] - 1
+        ends = np.cumsum(stop - begin)
+        place = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - stop, stop - begin)
+        offsets = np.append(0, ends).astype(np.int64)
+        strings = pa.LargeStringArray.from_buffers(len(words), pa.py_buffer(offsets), pa.py_buffer(text[place]))
+        return strings.cast(pa.string())
 
     def compact(self) -> tuple[np.ndarray, np.ndarray]:
         """The words as bytes with one byte after each (a space, or the end of the piece), and
@@ -97,6 +104,9 @@ class Block:
             starts[long] = len(source) + np.arange(len(long)) * len(stand_ins[0])
             sizes[long] = len(stand_ins[0])
             source = np.concatenate([source, np.frombuffer(b"".join(stand_ins), np.uint8)])
+        return self._spaced(source, starts, sizes)
+
+    def _spaced(self, source: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sizes = sizes + 1
         first = np.cumsum(sizes) - sizes
         place = np.arange(int(sizes.sum())) - np.repeat(first - starts, sizes)
@@ -243,7 +253,7 @@ def _level(texts: DataFrame, bits: list[np.ndarray], length: int, max_words: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = known.value
         buckets = _Buckets(cap) if length <= max_words else None
-        seen: set[int] = set()
+        seen = np.zeros(0, np.uint64)  # in order
         for block in _blocks(batches):
             if not len(block.starts):
                 continue
@@ -255,20 +265,23 @@ def _level(texts: DataFrame, bits: list[np.ndarray], length: int, max_words: int
                 values, ok = levels[length - 2]
                 at = np.flatnonzero(ok)
                 hashes, first = np.unique(values[at], return_index=True)
-                fresh = [(h, int(at[i])) for h, i in zip(hashes.tolist(), first) if h not in seen]
-                if fresh:
-                    seen.update(h for h, _ in fresh)
+                fresh = np.ones(len(hashes), bool)
+                if len(seen):
+                    fresh = seen[np.minimum(np.searchsorted(seen, hashes), len(seen) - 1)] != hashes
+                if fresh.any():
+                    seen = np.sort(np.concatenate([seen, hashes[fresh]]))
+                    begin = at[first[fresh]]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.nulls(len(fresh), pa.int64()),
-                            pa.nulls(len(fresh), pa.binary()),
-                            pa.array([block.langs[block.text[i]] for _, i in fresh], pa.string()),
-                            pa.array([block.phrase(i, length - 1).decode() for _, i in fresh], pa.string()),
+                            pa.nulls(len(begin), pa.int64()),
+                            pa.nulls(len(begin), pa.binary()),
+                            pa.array(block.langs, pa.string()).take(pa.array(block.text[begin])),
+                            block.phrases(begin, length - 1),
                         ],
                         ["block", "counts", "lang", "phrase"],
                     )
-                if len(seen) > HELD:
-                    seen.clear()
+                if len(seen) > HASHES_HELD:
+                    seen = seen[:0]
         for row in buckets.rows() if buckets is not None else ():
             nothing = pa.nulls(1, pa.string())
             yield pa.RecordBatch.from_arrays([*row.columns, nothing, nothing], ["block", "counts", "lang", "phrase"])
