@@ -7,12 +7,17 @@ once each, appended, and every row takes its count from the cache.
 
 Only digests and ids are grouped. A hot digest (a third of all rows may be copies) pre-aggregates
 in the grouping and meets one cache row in the final join, which adaptive execution can split.
+
+Texts share most of their words. Where the vocabulary lets no token reach over the start of a word,
+each task has the library count a word once and remembers it; other vocabularies get whole texts.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,6 +30,15 @@ from .tables import small_batches, stored
 CACHE = "tokenizer string, digest string, n_tokens long"
 #: texts encoded in one call, in characters; longer texts go alone
 CALL_CHARS = 1 << 16
+#: words whose counts a task remembers, when full, it starts over; longer words are not remembered
+REMEMBERED = 1 << 19
+REMEMBERED_CHARS = 64
+#: characters that no version of Unicode has as white space
+_SOLID = r"[^\s\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u206f\u3000\ufeff]"
+#: where the byte-level pattern always begins a token: at a single space between two such characters,
+#: at a mark after a letter, at the end of a line
+_MARKS = ".,;:!?"
+_STARTS = re.compile(f"(?<={_SOLID})(?= {_SOLID})|(?<=[A-Za-z])(?=[{_MARKS}])|(?<={_SOLID})(?=\n)")
 
 
 def tokenizer_version(path: str) -> str:
@@ -43,19 +57,65 @@ def read_cache(spark, cache: str | None) -> DataFrame:
     return spark.createDataFrame([], CACHE)
 
 
-def _encode(vocabulary: str, version: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def counted_by_word(path: str) -> bool:
+    """Whether the counts of a text's parts, cut at ``_STARTS``, add up to that of the text.
+
+    So it is if the byte-level pattern splits texts as they are, nothing is random, and no added token
+    stands across a cut or depends on what is around it.
+    """
+    with open(path, encoding="utf-8") as f:
+        vocabulary = json.load(f)
+    splitter, model = vocabulary.get("pre_tokenizer") or {}, vocabulary.get("model") or {}
+    return (
+        vocabulary.get("normalizer") is None
+        and splitter.get("type") == "ByteLevel"
+        and splitter.get("use_regex") is True
+        and splitter.get("add_prefix_space") is False
+        and model.get("type") == "BPE"
+        and not model.get("dropout")
+        and all(
+            not re.search(rf"[\s{_MARKS}]", t["content"]) and not (t["single_word"] or t["lstrip"] or t["rstrip"])
+            for t in vocabulary.get("added_tokens") or []
+        )
+    )
+
+
+class Counter:
+    """Token counts of texts by a tokenizers file, whole or word by word."""
+
+    def __init__(self, path: str, by_word: bool):
         # Spark spreads the work; threads of the library would only add memory
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(SparkFiles.get(vocabulary))
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-
-        def counts(texts: list[str]) -> list[int]:
-            return [len(e.ids) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.by_word = by_word
+        self.known: dict[str, int] = {}
+
+    def counts(self, texts: list[str]) -> list[int]:
+        if not self.by_word:
+            return self._library(texts)
+        known = self.known
+        if len(known) > REMEMBERED:
+            known.clear()
+        split = [_STARTS.split(text) for text in texts]
+        new = [word for word in set().union(*split) if word not in known]
+        known.update(zip(new, self._library(new)))
+        out = [sum(map(known.__getitem__, words)) for words in split]
+        for word in new:
+            if len(word) > REMEMBERED_CHARS:
+                del known[word]
+        return out
+
+    def _library(self, texts: list[str]) -> list[int]:
+        return [len(e) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def _encode(vocabulary: str, version: str, by_word: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = Counter(SparkFiles.get(vocabulary), by_word).counts
         for batch in batches:
             got, waiting, size = [], [], 0
             for text in batch["text"]:
@@ -96,7 +156,7 @@ def token_counts(docs: DataFrame, vocabulary: str, cache: str) -> DataFrame:
         misses, (texts["digest"] == misses["digest"]) & texts["doc_id"].eqNullSafe(misses["holder"]), "left_semi"
     )
     fresh = wanted.select("digest", "text").mapInArrow(
-        _encode(vocabulary.rsplit("/", 1)[-1], version), CACHE
+        _encode(vocabulary.rsplit("/", 1)[-1], version, counted_by_word(vocabulary)), CACHE
     )
     # a repeated row is its digest's holder as often as it stands
     once = fresh.groupBy("tokenizer", "digest").agg(F.min("n_tokens").alias("n_tokens"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import random
 import re
 import zlib
@@ -339,6 +340,42 @@ def test_token_counts_and_cache(spark, docs):
     assert token_counts.token_counts(texts.limit(0), path, new_folder(spark, "cache")).count() == 0
 
 
+def test_words_are_counted_once_and_add_up_to_the_text(monkeypatch, tmp_path):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert token_counts.counted_by_word(path)
+    library, counter = Tokenizer.from_file(path), token_counts.Counter(path, True)
+    rng = random.Random(7)
+    parts = [" ", " ", "  ", "\n", "\n\n", "\t", "\u00a0", "\u3000", "\u200b", "\u180e", "\x1c", "\x85", "word", "New", "'s", "'t",
+             "7", "\u0663", "ß", "e\u0301", "字", "😀", "<|endoftext|>", "<|endo", ".", ",", "!?", "-", "\ufeff", "w" * 90]
+    texts = ["", *("".join(rng.choices(parts, k=rng.randrange(40))) for _ in range(4000))]
+    want = [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert counter.counts(texts) == want == token_counts.Counter(path, False).counts(texts)
+    monkeypatch.setattr(token_counts, "REMEMBERED", 20)
+    assert [n for t in texts[:300] for n in counter.counts([t])] == want[:300]
+    # known words do not go to the library again
+    counter.counts(["a new word, here"])
+    monkeypatch.setattr(token_counts, "REMEMBERED", 1 << 19)
+    sent = []
+    monkeypatch.setattr(counter, "_library", lambda words: sent.extend(words) or [1] * len(words))
+    counter.counts(["a new word, here and new there"])
+    assert sorted(sent) == [" and", " there"]
+
+
+@pytest.mark.parametrize("change", [
+    {"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}},
+    {"added_tokens": [{"id": 50256, "content": "a b", "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True}]},
+    {"added_tokens": [{"id": 50256, "content": "<x>", "single_word": False, "lstrip": True, "rstrip": False, "normalized": False, "special": True}]},
+])
+def test_other_vocabularies_get_whole_texts(tmp_path, change):
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        vocabulary = json.load(f)
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(vocabulary | change), encoding="utf-8")
+    assert not token_counts.counted_by_word(str(path))
+
+
 # archives
 
 
