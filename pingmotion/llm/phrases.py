@@ -8,7 +8,9 @@ of a text block and advances all of them by one byte at a time, accepting states
 ``bincount``, and the counts of all blocks are summed.
 
 Scale. Texts are read where they are and never shuffled; what leaves a task is counted or distinct: words
-and their counts, ``BUCKETS`` small bucket sums, candidate phrases, counts per candidate. Broadcast are
+and their counts, ``BUCKETS`` small bucket sums, candidate phrases, counts per candidate. Bucket sums travel in
+stretches and phrases in parcels, so rows are few, and a task that sums or unpacks them holds one at a
+time, however many AQE deals it. Broadcast are
 bitmaps of ``BUCKETS`` bits and tries of at most ``PASS_BYTES`` together; candidates beyond that take
 further passes. Nothing is dropped: full buckets only let more candidates through. A language, word or
 copied text may hold any share of the rows, since all sums are pre-aggregated in the tasks. Candidates
@@ -23,6 +25,7 @@ from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
@@ -37,8 +40,14 @@ BLANKS = b" \t"
 
 #: a bucket is of use while the words of the corpus are not many times as many as buckets
 BUCKETS = 1 << 26
-#: buckets whose counts travel together
-STRETCH = 1 << 16
+#: buckets whose counts travel together, and how many stretches a task sends at once
+STRETCH = 1 << 14
+SENT = 64
+#: bytes of text cut into words at once
+BLOCK_BYTES = 2 << 20
+#: parcels, by hash, in which candidate phrases travel, and bytes of phrases that a task packs at once
+PARCELS = 1 << 10
+PACKED_BYTES = 16 << 20
 #: words that a task counts before it sends them on, and phrases, by their hashes, that it knows it has sent
 HELD = 300_000
 HASHES_HELD = 4_000_000
@@ -54,6 +63,7 @@ _ENDS = W.byte_set(PIECE_ENDS)
 _SPACE, _END = 32, 10
 _TO_BLANK = bytes(32 if _STOPS[b] else b + 32 if 65 <= b <= 90 else b for b in range(256))
 _FACTOR = _U(0x9E3779B97F4A7C15)
+_HALF = _U(0xFFFFFFFF)
 
 
 def _salt(lang: str) -> int:
@@ -83,6 +93,13 @@ class Block:
         salts = {lang: _salt(lang) for lang in set(self.langs)}
         return W.mix(W.word_hashes(self.data, self.starts, self.ends, lower=False) ^ self.per_word(salts, np.uint64))
 
+    def routes(self) -> np.ndarray:
+        """A number for every word that depends on this word, the next one and their language only,
+        equal in the upper half for equal words."""
+        words = self.hashes()
+        pairs = W.mix(words * _FACTOR + np.append(words[1:], _U(0))) if len(words) else words
+        return (words & ~_HALF | pairs >> _U(32)).view(np.int64)
+
     def phrases(self, words: np.ndarray, length: int) -> pa.Array:
         """The phrases of so many words that begin at these words of the block."""
         text, first = self._spaced(self.data, self.starts, self.ends - self.starts)
@@ -125,7 +142,7 @@ def _stand_in(word: bytes) -> bytes:
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
     for batch in batches:
         langs = batch["lang"].to_pylist()
-        for first, end, data, offsets in W.pieces(batch["text"]):
+        for first, end, data, offsets in W.pieces(batch["text"], BLOCK_BYTES):
             yield Block(data, offsets, langs[first:end])
 
 
@@ -164,6 +181,10 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return rows.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
+_BUCKET_COLUMNS = ["block", "slots", "counts"]
+_PARCEL_COLUMNS = ["parcel", "lang", "phrases"]
+
+
 class _Buckets:
     """Counts of hashed buckets, kept up to ``cap``: whether a sum reaches the cap needs no more."""
 
@@ -177,31 +198,64 @@ class _Buckets:
         self.counts[slots] = np.minimum(self.counts[slots] + n * times, self.cap)
 
     def rows(self) -> Iterator[pa.RecordBatch]:
-        """``block, counts``: the counts in stretches, those without any left out."""
+        """``block, slots, counts``: the counts in stretches, those without any left out. Where few buckets
+        of a stretch have counts, only those stand, with their slots; otherwise slots is null."""
         size = min(BUCKETS, STRETCH)
-        for block in np.flatnonzero(self.counts.reshape(-1, size).any(axis=1)).tolist():
-            part = self.counts[block * size : (block + 1) * size].tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([part], pa.binary())], ["block", "counts"])
+        for begin in range(0, BUCKETS, SENT * size):
+            part = self.counts[begin : begin + SENT * size]
+            used = np.flatnonzero(part)
+            cuts = np.searchsorted(used, np.arange(0, len(part) + 1, size)).tolist()
+            blocks, slots, counts = [], [], []
+            for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                if a == b:
+                    continue
+                blocks.append(begin // size + i)
+                if (b - a) * (2 + part.itemsize) < size * part.itemsize:
+                    slots.append((used[a:b] - i * size).astype(np.uint16).tobytes())
+                    counts.append(part[used[a:b]].tobytes())
+                else:
+                    slots.append(None)
+                    counts.append(part[i * size : (i + 1) * size].tobytes())
+            if blocks:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(blocks, pa.int64()), pa.array(slots, pa.binary()), pa.array(counts, pa.binary())], _BUCKET_COLUMNS
+                )
 
 
 def _bits(rows: DataFrame, cap: int) -> np.ndarray:
-    """The bitmap of the buckets whose counts, summed over all rows, reach the cap."""
+    """The bitmap of the buckets whose counts, summed over all rows, reach the cap. The rows of a
+    stretch come one after the other, so a task holds the sums of one stretch, however many it gets."""
     size = min(BUCKETS, STRETCH)
     kind = np.uint8 if cap < 256 else np.uint32
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
+        now, sums = None, np.zeros(size, np.int64)
+
+        def packed(done: list[tuple[int, bytes]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([b for b, _ in done], pa.int64()), pa.array([bits for _, bits in done], pa.binary())], ["block", "bits"]
+            )
+
         for batch in batches:
-            for block, counts in zip(batch["block"].to_pylist(), batch["counts"].to_pylist()):
-                more = np.frombuffer(counts, kind).astype(np.uint32)
-                sums[block] = np.minimum(sums.get(block, 0) + more, cap).astype(np.uint32)
-        for block, counts in sums.items():
-            packed = np.packbits(counts >= cap, bitorder="little").tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([packed], pa.binary())], ["block", "bits"])
-
-    summed = rows.select("block", "counts").repartition("block").mapInArrow(run, "block long, bits binary")
+            done = []
+            for block, slots, counts in zip(*(batch[c] for c in _BUCKET_COLUMNS)):
+                block = block.as_py()
+                if block != now:
+                    if now is not None:
+                        done.append((now, np.packbits(sums >= cap, bitorder="little").tobytes()))
+                    now, sums = block, np.zeros(size, np.int64)
+                more = np.frombuffer(counts.as_buffer(), kind)
+                if slots.is_valid:
+                    sums[np.frombuffer(slots.as_buffer(), np.uint16)] += more
+                else:
+                    sums += more
+            yield packed(done)
+        if now is not None:
+            yield packed([(now, np.packbits(sums >= cap, bitorder="little").tobytes())])
+
+    dealt = rows.select(*_BUCKET_COLUMNS).repartition("block").sortWithinPartitions("block")
     whole = bytearray(BUCKETS // 8)
-    for row in summed.collect():  # BUCKETS bits, however many rows were summed
+    for row in dealt.mapInArrow(run, "block long, bits binary").collect():  # BUCKETS bits, however many rows were summed
         whole[row["block"] * size // 8 : (row["block"] + 1) * size // 8] = row["bits"]
     return np.frombuffer(bytes(whole), np.uint64)
 
@@ -212,7 +266,7 @@ def _has(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def _word_buckets(words: DataFrame, cap: int) -> DataFrame:
-    """``block, counts`` in which the buckets of all these words are full."""
+    """``block, slots, counts`` in which the buckets of all these words are full."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets = _Buckets(cap)
@@ -223,7 +277,7 @@ def _word_buckets(words: DataFrame, cap: int) -> DataFrame:
                 buckets.add(W.mix(hashes ^ salts[first:end]), cap)
         yield from buckets.rows()
 
-    return words.select("lang", "phrase").mapInArrow(run, "block long, counts binary")
+    return words.select("lang", "phrase").mapInArrow(run, "block long, slots binary, counts binary")
 
 
 def _feasible(block: Block, bits: list[np.ndarray], length: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -245,15 +299,82 @@ def _feasible(block: Block, bits: list[np.ndarray], length: int) -> Iterator[tup
         yield values, ok
 
 
+class _Parcels:
+    """Candidate phrases of a task, packed by language and hash."""
+
+    def __init__(self) -> None:
+        self.langs: dict[str, int] = {}
+        self.phrases: list[pa.Array] = []
+        self.keys: list[np.ndarray] = []
+        self.held = 0
+
+    def add(self, langs: list[str], text: np.ndarray, hashes: np.ndarray, phrases: pa.Array) -> None:
+        """Phrases with the text and the hash of each, and the languages of the texts."""
+        numbers = np.array([self.langs.setdefault(lang, len(self.langs)) for lang in langs], np.int64)[text]
+        self.keys.append(numbers * PARCELS + (hashes % _U(PARCELS)).astype(np.int64))
+        self.phrases.append(phrases)
+        self.held += phrases.nbytes
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """``parcel, lang, phrases``: each parcel's phrases with a line end between them."""
+        if not self.keys:
+            return
+        keys = np.concatenate(self.keys)
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        begin = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        lists = pa.ListArray.from_arrays(
+            pa.array(np.append(begin, len(keys)).astype(np.int32)), pa.concat_arrays(self.phrases).take(pa.array(order))
+        )
+        names = list(self.langs)
+        packed = pc.binary_join(lists, "\n").cast(pa.binary())
+        parcel, lang = pa.array(keys[begin] % PARCELS), pa.array([names[i] for i in keys[begin] // PARCELS], pa.string())
+        self.__init__()
+        for first in range(0, len(packed), PARCELS):
+            yield pa.RecordBatch.from_arrays([c.slice(first, PARCELS) for c in (parcel, lang, packed)], _PARCEL_COLUMNS)
+
+
+def _unpacked(rows: DataFrame) -> DataFrame:
+    """``lang, phrase``: the distinct phrases of all parcels. Rows of a parcel and language come one
+    after the other, so a task holds the phrases of one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, seen = None, set()
+
+        def distinct() -> pa.RecordBatch:
+            phrases = pa.array(list(seen), pa.binary()).cast(pa.string())
+            return pa.RecordBatch.from_arrays([pa.array([now[1]] * len(seen), pa.string()), phrases], ["lang", "phrase"])
+
+        for batch in batches:
+            for parcel, lang, phrases in zip(*(batch[c].to_pylist() for c in _PARCEL_COLUMNS)):
+                if (parcel, lang) != now:
+                    if seen:
+                        yield distinct()
+                    now, seen = (parcel, lang), set()
+                seen.update(phrases.split(b"\n"))
+        if seen:
+            yield distinct()
+
+    dealt = rows.select(*_PARCEL_COLUMNS).repartition("parcel", "lang").sortWithinPartitions("parcel", "lang")
+    return dealt.mapInArrow(run, "lang string, phrase string")
+
+
 def _level(texts: DataFrame, bits: list[np.ndarray], length: int, max_words: int, cap: int) -> DataFrame:
-    """One pass: ``block, counts`` of the buckets of phrases of ``length`` words, and ``lang, phrase`` of
-    the candidates one word shorter."""
+    """One pass: ``block, slots, counts`` of the buckets of phrases of ``length`` words, and ``parcel,
+    lang, phrases`` of the candidates one word shorter."""
     known = texts.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = known.value
         buckets = _Buckets(cap) if length <= max_words else None
+        parcels = _Parcels()
         seen = np.zeros(0, np.uint64)  # in order
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            for row in parcels.rows():
+                nothing = [pa.nulls(len(row), kind) for kind in (pa.int64(), pa.binary(), pa.binary())]
+                yield pa.RecordBatch.from_arrays([*nothing, *row.columns], [*_BUCKET_COLUMNS, *_PARCEL_COLUMNS])
+
         for block in _blocks(batches):
             if not len(block.starts):
                 continue
@@ -269,24 +390,19 @@ def _level(texts: DataFrame, bits: list[np.ndarray], length: int, max_words: int
                 if len(seen):
                     fresh = seen[np.minimum(np.searchsorted(seen, hashes), len(seen) - 1)] != hashes
                 if fresh.any():
-                    seen = np.sort(np.concatenate([seen, hashes[fresh]]))
+                    seen = np.sort(np.concatenate([seen, hashes[fresh]]), kind="stable")  # two runs in order
                     begin = at[first[fresh]]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.nulls(len(begin), pa.int64()),
-                            pa.nulls(len(begin), pa.binary()),
-                            pa.array(block.langs, pa.string()).take(pa.array(block.text[begin])),
-                            block.phrases(begin, length - 1),
-                        ],
-                        ["block", "counts", "lang", "phrase"],
-                    )
+                    parcels.add(block.langs, block.text[begin], hashes[fresh], block.phrases(begin, length - 1))
+                    if parcels.held > PACKED_BYTES:
+                        yield from sent()
                 if len(seen) > HASHES_HELD:
                     seen = seen[:0]
+        yield from sent()
         for row in buckets.rows() if buckets is not None else ():
-            nothing = pa.nulls(1, pa.string())
-            yield pa.RecordBatch.from_arrays([*row.columns, nothing, nothing], ["block", "counts", "lang", "phrase"])
+            nothing = [pa.nulls(len(row), kind) for kind in (pa.int64(), pa.string(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*row.columns, *nothing], [*_BUCKET_COLUMNS, *_PARCEL_COLUMNS])
 
-    return texts.mapInArrow(run, "block long, counts binary, lang string, phrase string")
+    return texts.mapInArrow(run, "block long, slots binary, counts binary, parcel long, lang string, phrases binary")
 
 
 def candidates(texts: DataFrame, words: DataFrame, min_count: int, max_words: int) -> DataFrame:
@@ -296,11 +412,12 @@ def candidates(texts: DataFrame, words: DataFrame, min_count: int, max_words: in
     for length in range(2, max_words + 2):
         level = stored(_level(texts, bits, length, max_words, min_count), f"phrases-{length}")
         if length > 2:
-            here = level.where("phrase IS NOT NULL").select("lang", "phrase")
+            # phrases of different lengths differ
+            here = _unpacked(level.where("parcel IS NOT NULL"))
             found = here if found is None else found.union(here)
         if length <= max_words:
             bits.append(_bits(level.where("block IS NOT NULL"), min_count))
-    return found.distinct()
+    return found
 
 
 class DoubleArray:
@@ -376,13 +493,12 @@ class DoubleArray:
         self.ends, self.numbers = ends[by_state].astype(np.int32), number[by_state]
 
 
-def accepted(trie: tuple, block: Block, text: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Numbers of the keys found at all word positions, repeats included: every step advances all
-    positions whose state is still alive by one byte."""
+def accepted(trie: tuple, block: Block, text: np.ndarray, first: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Numbers of the keys found at these words, repeats included: every step advances all positions whose
+    state is still alive by one byte."""
     _, roots, base, check, ends, numbers = trie
-    at = first[block.joined]  # a phrase has a second word
-    roots = {lang: roots.get(lang, -1) for lang in set(block.langs)}
-    state = block.per_word(roots, np.int64)[block.joined]
+    roots = np.array([roots.get(lang, -1) for lang in block.langs], np.int64)
+    at, state = first[words], roots[block.text[words]]
     alive = state >= 0
     at, state = at[alive], state[alive]
     found = []
@@ -401,27 +517,40 @@ def accepted(trie: tuple, block: Block, text: np.ndarray, first: np.ndarray) ->
 
 
 def _sharded(phrases: DataFrame, trie_bytes: int) -> DataFrame:
-    """``lang, phrase, shard, id``: candidates in order, cut into shards of so many bytes at most."""
+    """``lang, phrase, route, shard, id``: candidates in order of the route of their first word, cut into
+    shards of so many bytes or little more. Phrases of equal routes stay together, so all that
+    may begin at a position stand in one shard, which the position's route tells."""
+
+    def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, end, data, offsets in W.pieces(batch["phrase"], BLOCK_BYTES):
+                rows = batch.slice(first, end - first)
+                block = Block(data, offsets, rows["lang"].to_pylist())
+                begin = np.searchsorted(block.text, np.arange(len(rows)))
+                yield pa.RecordBatch.from_arrays(
+                    [rows["lang"], rows["phrase"], pa.array(block.routes()[begin])], ["lang", "phrase", "route"]
+                )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, id_, held = TaskContext.get().partitionId() << 32, 0, 0
+        shard, id_, held, last = TaskContext.get().partitionId() << 32, 0, 0, None
         for batch in batches:
             shards, ids = [], []
-            for phrase in batch["phrase"].to_pylist():
+            for phrase, route in zip(batch["phrase"].to_pylist(), batch["route"].to_pylist()):
                 size = len(phrase.encode())
-                if id_ and held + size > trie_bytes:
+                if id_ and held + size > trie_bytes and route != last:
                     shard, id_, held = shard + 1, 0, 0
                 shards.append(shard)
                 ids.append(id_)
-                id_, held = id_ + 1, held + size
+                id_, held, last = id_ + 1, held + size, route
             yield pa.RecordBatch.from_arrays(
-                [batch["lang"], batch["phrase"], pa.array(shards, pa.int64()), pa.array(ids, pa.int64())],
-                ["lang", "phrase", "shard", "id"],
+                [*(batch[c] for c in ("lang", "phrase", "route")), pa.array(shards, pa.int64()), pa.array(ids, pa.int64())],
+                ["lang", "phrase", "route", "shard", "id"],
             )
 
-    # neighbours share beginnings, and a shard fills its trie
-    ordered = phrases.repartitionByRange("lang", "phrase").sortWithinPartitions("lang", "phrase")
-    return ordered.mapInArrow(run, "lang string, phrase string, shard long, id long")
+    # neighbours share their first word, and a shard fills its trie
+    routes = stored(phrases.mapInArrow(routed, "lang string, phrase string, route long"), "routes")
+    ordered = routes.repartitionByRange("route").sortWithinPartitions("route", "lang", "phrase")
+    return ordered.mapInArrow(run, "lang string, phrase string, route long, shard long, id long")
 
 
 def _tries(shards: DataFrame) -> DataFrame:
@@ -432,6 +561,8 @@ def _tries(shards: DataFrame) -> DataFrame:
         return pa.table(
             {
                 "shard": [key[0].as_py()],
+                "first": [pc.min(keys["route"]).as_py()],
+                "last": [pc.max(keys["route"]).as_py()],
                 "langs": pa.array([list(trie.roots)], pa.list_(pa.string())),
                 "base": pa.array([trie.base.tobytes()], pa.binary()),
                 "check": pa.array([trie.check.tobytes()], pa.binary()),
@@ -441,7 +572,7 @@ def _tries(shards: DataFrame) -> DataFrame:
             }
         )
 
-    kinds = "shard long, langs array<string>, base binary, check binary, ends binary, numbers binary, size long"
+    kinds = "shard long, first long, last long, langs array<string>, base binary, check binary, ends binary, numbers binary, size long"
     return shards.groupBy("shard").applyInArrow(run, kinds)
 
 
@@ -467,7 +598,9 @@ def counted(texts: DataFrame, phrases: DataFrame, trie_bytes: int = TRIE_BYTES,
     total: DataFrame | None = None
     for names in passes:
         chosen = tries.where(F.col("shard").between(names[0], names[-1])).toLocalIterator()
-        known = spark.sparkContext.broadcast([_loaded(r) for r in chosen])
+        loaded = sorted(((r["first"], r["last"], _loaded(r)) for r in chosen), key=lambda row: row[0])
+        known = spark.sparkContext.broadcast(loaded)
+        del loaded
         here = stored(_counts(texts, known), "counts")
         known.destroy()
         total = here if total is None else total.union(here)
@@ -479,14 +612,24 @@ def counted(texts: DataFrame, phrases: DataFrame, trie_bytes: int = TRIE_BYTES,
 
 def _counts(texts: DataFrame, known) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tries = known.value
+        tries = [trie for _, _, trie in known.value]
+        begin, last = (np.array([row[i] for row in known.value], np.int64) for i in (0, 1))
         sums = [np.zeros(len(trie[-1]), np.int64) for trie in tries]
         for block in _blocks(batches):
             if not len(block.starts):
                 continue
             text, first = block.compact()
-            for trie, total in zip(tries, sums):
-                total += np.bincount(accepted(trie, block, text, first), minlength=len(total))
+            words = np.flatnonzero(block.joined)  # a phrase has a second word
+            routes = block.routes()[words]
+            number = np.searchsorted(begin, routes, "right") - 1
+            inside = (number >= 0) & (routes <= last[number])
+            words, number = words[inside], number[inside]
+            words = words[np.argsort(number, kind="stable")]
+            cuts = np.append(0, np.cumsum(np.bincount(number, minlength=len(tries))))
+            for i, (trie, total) in enumerate(zip(tries, sums)):
+                if cuts[i] < cuts[i + 1]:
+                    found = accepted(trie, block, text, first, words[cuts[i] : cuts[i + 1]])
+                    total += np.bincount(found, minlength=len(total))
         for (shard, *_), total in zip(tries, sums):
             ids = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays(

@@ -89,6 +89,48 @@ def test_full_buckets_only_let_more_through(spark, monkeypatch):
     check(spark, texts(100, 3))
 
 
+def test_small_stretches_parcels_and_shards(spark, monkeypatch):
+    for name, value in {"BUCKETS": 1 << 12, "STRETCH": 64, "SENT": 2, "PARCELS": 4, "PACKED_BYTES": 100, "HASHES_HELD": 50}.items():
+        monkeypatch.setattr(phrases, name, value)
+    check(spark, texts(120, 6), min_count=3, max_words=4, trie_bytes=300, pass_bytes=150_000)
+    check(spark, texts(40, 7) + [("en", "of the city " * 300)] * 2, min_count=300)  # counts of more than a byte
+
+
+def test_few_counts_travel_as_slots(monkeypatch):
+    monkeypatch.setattr(phrases, "BUCKETS", 1 << 18)
+    buckets = phrases._Buckets(10)
+    buckets.add(np.array([3, 3, 70_000], np.uint64))
+    rows = [r for batch in buckets.rows() for r in batch.to_pylist()]
+    assert sum(len(r["slots"]) + len(r["counts"]) for r in rows) == 6  # was two stretches of 65,536 bytes
+    buckets.add(np.arange(1 << 14, dtype=np.uint64))
+    first = next(buckets.rows()).to_pylist()[0]
+    assert first["slots"] is None and list(first["counts"][:4]) == [1, 1, 1, 3]
+
+
+def test_one_task_sums_the_stretches_of_many(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "BUCKETS", 256)
+    monkeypatch.setattr(phrases, "STRETCH", 64)
+    rng = np.random.default_rng(3)
+    rows, total = [], np.zeros(256, int)
+    for _ in range(30):
+        buckets = phrases._Buckets(10)
+        buckets.add(rng.integers(0, 256, rng.integers(1, 60)).astype(np.uint64))
+        total += buckets.counts
+        rows += [tuple(r.values()) for batch in buckets.rows() for r in batch.to_pylist()]
+    bits = phrases._bits(spark.createDataFrame(rows, "block long, slots binary, counts binary"), 10)
+    assert phrases._has(bits, np.arange(256, dtype=np.uint64)).tolist() == (total >= 10).tolist()
+
+
+def test_phrases_that_may_begin_at_a_word_share_a_shard(spark):
+    rows = [(lang, f"{a} {b}{more}") for lang in ("de", "en") for a in "abcde" for b in "fghij" for more in ("", " k", " l m")]
+    shards = phrases._sharded(spark.createDataFrame(rows, "lang string, phrase string").repartition(7), 10).collect()
+    assert len(shards) == len(rows)
+    place = {}
+    for r in shards:
+        place.setdefault((r["lang"], *r["phrase"].split()[:2]), set()).add((r["route"], r["shard"]))
+    assert all(len(p) == 1 for p in place.values()) and len({s for p in place.values() for _, s in p}) > 20
+
+
 def test_a_common_text_and_a_common_word(spark):
     rows = [("en", "the same line of words stands everywhere")] * 200 + [("en", "the " * 5000)] * 3 + texts(60, 4)
     check(spark, rows)
