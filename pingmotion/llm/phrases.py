@@ -3,16 +3,16 @@
 Level by level, by the Apriori rule that a phrase is at most as frequent as its parts. Words are
 counted first. For each length of phrase, positions whose shorter phrases may be frequent add to
 hashed buckets, whose sums are upper bounds; phrases of frequent buckets, and only those, are candidates.
-The candidates' exact counts come from double-array tries: numpy holds the trie state of every word position
-of a text block and advances all of them by one byte at a time, accepting states are counted by
-``bincount``, and the counts of all blocks are summed.
-
-Scale. Texts are read where they are and never shuffled; what leaves a task is counted or distinct: words
-and their counts, ``BUCKETS`` small bucket sums, candidate phrases, counts per candidate. Bucket sums travel in
-stretches and phrases in parcels, so rows are few, and a task that sums or unpacks them holds one at a
-time, however many AQE deals it. Broadcast are
-bitmaps of ``BUCKETS`` bits and tries of at most ``PASS_BYTES`` together; candidates beyond that take
-further passes. Nothing is dropped: full buckets only let more candidates through. A language, word or
+Tasks send each of their candidates with the times it occurs there. The exact counts come from double-array
+tries, one or a few per parcel of candidates: numpy holds the trie state of every phrase that was sent and
+advances all of them by one byte at a time, and what was sent with accepted phrases is summed by ``bincount``.
+
+Scale. Texts are read where they are, once for the words and once for each length, however many candidates
+there are, and never shuffled; what leaves a task is counted or distinct: words and their counts, small
+bucket sums, candidate phrases and their counts. Bucket sums travel in stretches and phrases in parcels, so
+rows are few, and a task that sums them holds one at a time, however many AQE deals it. Broadcast are bitmaps of
+the buckets, whose number grows with the words of the corpus (``BUCKETS`` to ``MOST_BUCKETS``); tasks hold only
+the buckets they use. Nothing is dropped: full buckets only let more candidates through. A language, word or
 copied text may hold any share of the rows, since all sums are pre-aggregated in the tasks. Candidates
 are told apart inside a task by 64-bit hashes.
 """
@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,20 +38,26 @@ from .tables import small_batches, stored
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
 
-#: a bucket is of use while the words of the corpus are not many times as many as buckets
-BUCKETS = 1 << 26
-#: buckets whose counts travel together, and how many stretches a task sends at once
+#: buckets of words, and of phrases at least and at most: a bucket is of use while the words of the corpus are
+#: not many times as many as buckets
+BUCKETS, MOST_BUCKETS = 1 << 26, 1 << 30
+WORDS_A_BUCKET = 4
+#: bucket counts that a task holds before it sends them on
+COUNTS_HELD = 4_000_000
+#: buckets whose counts travel together, at least, and how many stretches a task sends at once
 STRETCH = 1 << 14
 SENT = 64
 #: bytes of text cut into words at once
 BLOCK_BYTES = 2 << 20
-#: parcels, by hash, in which candidate phrases travel, and bytes of phrases that a task packs at once
-PARCELS = 1 << 10
+#: parcels at least, by hash, in which candidate phrases travel, words of the corpus for each of them, and bytes of
+#: phrases that a task packs at once
+PARCELS = 256
+WORDS_A_PARCEL = 500_000
 PACKED_BYTES = 16 << 20
 #: words that a task counts before it sends them on, and phrases, by their hashes, that it knows it has sent
 HELD = 300_000
 HASHES_HELD = 4_000_000
-#: bytes of phrases in a trie, and of the arrays of the tries of one pass
+#: bytes of phrases in a trie, and of phrases that are walked at once
 TRIE_BYTES = 3 << 20
 PASS_BYTES = 48 << 20
 #: longer words stand in tries by their digest, so that a trie has few levels
@@ -110,19 +116,6 @@ class Block:
         strings = pa.LargeStringArray.from_buffers(len(words), pa.py_buffer(offsets), pa.py_buffer(text[place]))
         return strings.cast(pa.string())
 
-    def compact(self) -> tuple[np.ndarray, np.ndarray]:
-        """The words as bytes with one byte after each (a space, or the end of the piece), and
-        where each begins. Long words are replaced by their stand-in."""
-        starts, sizes, source = self.starts, self.ends - self.starts, self.data
-        long = np.flatnonzero(sizes > LONG_WORD)
-        if len(long):
-            stand_ins = [_stand_in(source[starts[i] : starts[i] + sizes[i]].tobytes()) for i in long]
-            starts, sizes = starts.copy(), sizes.copy()
-            starts[long] = len(source) + np.arange(len(long)) * len(stand_ins[0])
-            sizes[long] = len(stand_ins[0])
-            source = np.concatenate([source, np.frombuffer(b"".join(stand_ins), np.uint8)])
-        return self._spaced(source, starts, sizes)
-
     def _spaced(self, source: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sizes = sizes + 1
         first = np.cumsum(sizes) - sizes
@@ -182,51 +175,87 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 _BUCKET_COLUMNS = ["block", "slots", "counts"]
-_PARCEL_COLUMNS = ["parcel", "lang", "phrases"]
+_PARCEL_COLUMNS = ["parcel", "lang", "phrases", "times"]
+
+
+def _stretch(size: int) -> int:
+    """Of so many buckets, those that travel together; their slots have 16 bits."""
+    return min(size, max(STRETCH, min(size >> 12, 1 << 16)))
+
+
+def _kind(cap: int) -> type:
+    return np.uint8 if cap < 256 else np.uint32
 
 
 class _Buckets:
-    """Counts of hashed buckets, kept up to ``cap``: whether a sum reaches the cap needs no more."""
+    """Counts of hashed buckets, kept up to ``cap``: whether a sum reaches the cap needs no more. Held are
+    those that are used, as a slot in the upper half of a number and a count in the lower one."""
 
-    def __init__(self, cap: int):
-        self.cap = cap
-        self.kind = np.uint8 if cap < 256 else np.uint32
-        self.counts = np.zeros(BUCKETS, self.kind)
+    def __init__(self, cap: int, size: int | None = None):
+        self.cap, self.size = cap, size or BUCKETS
+        self.kind = _kind(cap)
+        self.parts: list[np.ndarray] = []
+        self.held = 0
 
     def add(self, hashes: np.ndarray, times: int = 1) -> None:
-        slots, n = np.unique((hashes & _U(BUCKETS - 1)).astype(np.int64), return_counts=True)
-        self.counts[slots] = np.minimum(self.counts[slots] + n * times, self.cap)
+        self.parts.append((hashes & _U(self.size - 1)) << _U(32) | _U(min(times, self.cap)))
+        self.held += len(hashes)
+        if self.held > COUNTS_HELD:
+            self.folded()
+
+    def folded(self) -> tuple[np.ndarray, np.ndarray]:
+        """The slots in order and their counts."""
+        whole = np.sort(np.concatenate([np.zeros(0, np.uint64), *self.parts]))
+        slots = whole >> _U(32)
+        begin = np.flatnonzero(np.append(True, slots[1:] != slots[:-1])[: len(slots)])
+        slots = slots[begin]
+        counts = np.minimum(np.add.reduceat(whole & _HALF, begin), _U(self.cap)) if len(slots) else slots
+        self.parts, self.held = [slots << _U(32) | counts], len(slots)
+        return slots.astype(np.int64), counts.astype(self.kind)
+
+    @property
+    def counts(self) -> np.ndarray:
+        slots, counts = self.folded()
+        out = np.zeros(self.size, self.kind)
+        out[slots] = counts
+        return out
 
     def rows(self) -> Iterator[pa.RecordBatch]:
         """``block, slots, counts``: the counts in stretches, those without any left out. Where few buckets
         of a stretch have counts, only those stand, with their slots; otherwise slots is null."""
-        size = min(BUCKETS, STRETCH)
-        for begin in range(0, BUCKETS, SENT * size):
-            part = self.counts[begin : begin + SENT * size]
-            used = np.flatnonzero(part)
-            cuts = np.searchsorted(used, np.arange(0, len(part) + 1, size)).tolist()
-            blocks, slots, counts = [], [], []
-            for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                if a == b:
-                    continue
-                blocks.append(begin // size + i)
-                if (b - a) * (2 + part.itemsize) < size * part.itemsize:
-                    slots.append((used[a:b] - i * size).astype(np.uint16).tobytes())
-                    counts.append(part[used[a:b]].tobytes())
-                else:
-                    slots.append(None)
-                    counts.append(part[i * size : (i + 1) * size].tobytes())
-            if blocks:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(blocks, pa.int64()), pa.array(slots, pa.binary()), pa.array(counts, pa.binary())], _BUCKET_COLUMNS
-                )
+        size = _stretch(self.size)
+        used, part = self.folded()
+        cuts = np.searchsorted(used, np.arange(0, self.size + 1, size)).tolist()
+        blocks, slots, counts = [], [], []
 
+        def packed() -> pa.RecordBatch:
+            columns = [pa.array(blocks, pa.int64()), pa.array(slots, pa.binary()), pa.array(counts, pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, _BUCKET_COLUMNS)
 
-def _bits(rows: DataFrame, cap: int) -> np.ndarray:
+        for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            if a == b:
+                continue
+            blocks.append(i)
+            if (b - a) * (2 + part.itemsize) < size * part.itemsize:
+                slots.append((used[a:b] - i * size).astype(np.uint16).tobytes())
+                counts.append(part[a:b].tobytes())
+            else:
+                whole = np.zeros(size, self.kind)
+                whole[used[a:b] - i * size] = part[a:b]
+                slots.append(None)
+                counts.append(whole.tobytes())
+            if len(blocks) == SENT:
+                yield packed()
+                blocks, slots, counts = [], [], []
+        if blocks:
+            yield packed()
+
+
+def _bits(rows: DataFrame, cap: int, buckets: int | None = None) -> np.ndarray:
     """The bitmap of the buckets whose counts, summed over all rows, reach the cap. The rows of a
     stretch come one after the other, so a task holds the sums of one stretch, however many it gets."""
-    size = min(BUCKETS, STRETCH)
-    kind = np.uint8 if cap < 256 else np.uint32
+    buckets = buckets or BUCKETS
+    size, kind = _stretch(buckets), _kind(cap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, sums = None, np.zeros(size, np.int64)
@@ -254,14 +283,14 @@ def _bits(rows: DataFrame, cap: int) -> np.ndarray:
             yield packed([(now, np.packbits(sums >= cap, bitorder="little").tobytes())])
 
     dealt = rows.select(*_BUCKET_COLUMNS).repartition("block").sortWithinPartitions("block")
-    whole = bytearray(BUCKETS // 8)
-    for row in dealt.mapInArrow(run, "block long, bits binary").collect():  # BUCKETS bits, however many rows were summed
+    whole = bytearray(buckets // 8)
+    for row in dealt.mapInArrow(run, "block long, bits binary").collect():  # a bit a bucket, however many rows were summed
         whole[row["block"] * size // 8 : (row["block"] + 1) * size // 8] = row["bits"]
-    return np.frombuffer(bytes(whole), np.uint64)
+    return np.frombuffer(whole, np.uint64)
 
 
 def _has(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    slot = hashes & _U(BUCKETS - 1)
+    slot = hashes & _U(64 * len(bits) - 1)
     return (bits[slot >> _U(6)] >> (slot & _U(63))) & _U(1) == 1
 
 
@@ -300,80 +329,88 @@ def _feasible(block: Block, bits: list[np.ndarray], length: int) -> Iterator[tup
 
 
 class _Parcels:
-    """Candidate phrases of a task, packed by language and hash."""
+    """Candidate phrases of a task with the times each occurs, packed by language and hash."""
 
-    def __init__(self) -> None:
+    def __init__(self, parcels: int) -> None:
+        self.parcels = parcels
         self.langs: dict[str, int] = {}
+        self.seen, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # hashes in order, and which came when
         self.phrases: list[pa.Array] = []
         self.keys: list[np.ndarray] = []
+        self.times = np.zeros(0, np.int64)
         self.held = 0
 
-    def add(self, langs: list[str], text: np.ndarray, hashes: np.ndarray, phrases: pa.Array) -> None:
-        """Phrases with the text and the hash of each, and the languages of the texts."""
-        numbers = np.array([self.langs.setdefault(lang, len(self.langs)) for lang in langs], np.int64)[text]
-        self.keys.append(numbers * PARCELS + (hashes % _U(PARCELS)).astype(np.int64))
-        self.phrases.append(phrases)
-        self.held += phrases.nbytes
+    def add(self, block: Block, values: np.ndarray, at: np.ndarray, length: int) -> None:
+        """The phrases of so many words, with these hashes, that begin at these words of the block."""
+        hashes, first, times = np.unique(values, return_index=True, return_counts=True)
+        spot = np.searchsorted(self.seen, hashes)
+        known = np.zeros(len(hashes), bool)
+        if len(self.seen):
+            known = self.seen[np.minimum(spot, len(self.seen) - 1)] == hashes
+        self.times[self.place[spot[known]]] += times[known]
+        fresh = ~known
+        if fresh.any():
+            hashes, spot, begin = hashes[fresh], spot[fresh], at[first[fresh]]
+            self.place = np.insert(self.place, spot, np.arange(len(self.times), len(self.times) + len(hashes)))
+            self.seen = np.insert(self.seen, spot, hashes)
+            self.times = np.concatenate([self.times, times[fresh]])
+            numbers = np.array([self.langs.setdefault(lang, len(self.langs)) for lang in block.langs], np.int64)
+            self.keys.append(numbers[block.text[begin]] * self.parcels + (hashes % _U(self.parcels)).astype(np.int64))
+            self.phrases.append(block.phrases(begin, length))
+            self.held += self.phrases[-1].nbytes
+
+    def full(self) -> bool:
+        return self.held > PACKED_BYTES or len(self.seen) > HASHES_HELD
 
     def rows(self) -> Iterator[pa.RecordBatch]:
-        """``parcel, lang, phrases``: each parcel's phrases with a line end between them."""
+        """``parcel, lang, phrases, times``: each parcel's phrases with a line end between them; a byte for
+        the times of each, and eight more at the end if that byte is 255."""
         if not self.keys:
             return
         keys = np.concatenate(self.keys)
         order = np.argsort(keys, kind="stable")
-        keys = keys[order]
+        keys, times = keys[order], self.times[order]
         begin = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        lists = pa.ListArray.from_arrays(
-            pa.array(np.append(begin, len(keys)).astype(np.int32)), pa.concat_arrays(self.phrases).take(pa.array(order))
-        )
+        cuts = np.append(begin, len(keys))
+        lists = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.concat_arrays(self.phrases).take(pa.array(order)))
         names = list(self.langs)
         packed = pc.binary_join(lists, "\n").cast(pa.binary())
-        parcel, lang = pa.array(keys[begin] % PARCELS), pa.array([names[i] for i in keys[begin] // PARCELS], pa.string())
-        self.__init__()
+        parcel = pa.array(keys[begin] % self.parcels)
+        lang = pa.array([names[i] for i in keys[begin] // self.parcels], pa.string())
+        few = np.minimum(times, 255).astype(np.uint8)
+        spots = np.flatnonzero(few == 255)
+        more = np.searchsorted(spots, cuts).tolist()
+        sums = [
+            few[a:b].tobytes() + times[spots[c:d]].tobytes() for a, b, c, d in zip(cuts.tolist(), cuts[1:].tolist(), more, more[1:])
+        ]
+        columns = [parcel, lang, packed, pa.array(sums, pa.binary())]
+        self.__init__(self.parcels)
         for first in range(0, len(packed), PARCELS):
-            yield pa.RecordBatch.from_arrays([c.slice(first, PARCELS) for c in (parcel, lang, packed)], _PARCEL_COLUMNS)
-
+            yield pa.RecordBatch.from_arrays([c.slice(first, PARCELS) for c in columns], _PARCEL_COLUMNS)
 
-def _unpacked(rows: DataFrame) -> DataFrame:
-    """``lang, phrase``: the distinct phrases of all parcels. Rows of a parcel and language come one
-    after the other, so a task holds the phrases of one."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, seen = None, set()
+def _times(sums: bytes, n: int) -> np.ndarray:
+    """The times of so many phrases of a parcel's row."""
+    times = np.frombuffer(sums, np.uint8, n).astype(np.int64)
+    times[times == 255] = np.frombuffer(sums, np.int64, offset=n)
+    return times
 
-        def distinct() -> pa.RecordBatch:
-            phrases = pa.array(list(seen), pa.binary()).cast(pa.string())
-            return pa.RecordBatch.from_arrays([pa.array([now[1]] * len(seen), pa.string()), phrases], ["lang", "phrase"])
 
-        for batch in batches:
-            for parcel, lang, phrases in zip(*(batch[c].to_pylist() for c in _PARCEL_COLUMNS)):
-                if (parcel, lang) != now:
-                    if seen:
-                        yield distinct()
-                    now, seen = (parcel, lang), set()
-                seen.update(phrases.split(b"\n"))
-        if seen:
-            yield distinct()
-
-    dealt = rows.select(*_PARCEL_COLUMNS).repartition("parcel", "lang").sortWithinPartitions("parcel", "lang")
-    return dealt.mapInArrow(run, "lang string, phrase string")
-
-
-def _level(texts: DataFrame, bits: list[np.ndarray], length: int, max_words: int, cap: int) -> DataFrame:
+def _level(texts: DataFrame, known: Broadcast, length: int, max_words: int, cap: int, size: int, dealt: int) -> DataFrame:
     """One pass: ``block, slots, counts`` of the buckets of phrases of ``length`` words, and ``parcel,
-    lang, phrases`` of the candidates one word shorter."""
-    known = texts.sparkSession.sparkContext.broadcast(bits)
+    lang, phrases, times`` of the candidates one word shorter, dealt over so many parcels."""
+    kinds = dict.fromkeys([*_BUCKET_COLUMNS, *_PARCEL_COLUMNS], "binary") | {"block": "long", "parcel": "long", "lang": "string"}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = known.value
-        buckets = _Buckets(cap) if length <= max_words else None
-        parcels = _Parcels()
-        seen = np.zeros(0, np.uint64)  # in order
+        buckets = _Buckets(cap, size) if length <= max_words else None
+        parcels = _Parcels(dealt)
+        arrow = {"long": pa.int64(), "binary": pa.binary(), "string": pa.string()}
 
-        def sent() -> Iterator[pa.RecordBatch]:
-            for row in parcels.rows():
-                nothing = [pa.nulls(len(row), kind) for kind in (pa.int64(), pa.binary(), pa.binary())]
-                yield pa.RecordBatch.from_arrays([*nothing, *row.columns], [*_BUCKET_COLUMNS, *_PARCEL_COLUMNS])
+        def filled(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for row in rows:
+                columns = [row[c] if c in row.schema.names else pa.nulls(len(row), arrow[kind]) for c, kind in kinds.items()]
+                yield pa.RecordBatch.from_arrays(columns, list(kinds))
 
         for block in _blocks(batches):
             if not len(block.starts):
@@ -382,41 +419,45 @@ def _level(texts: DataFrame, bits: list[np.ndarray], length: int, max_words: int
             if buckets is not None:
                 values, ok = levels[length - 1]
                 buckets.add(values[ok])
+                if buckets.held > COUNTS_HELD:
+                    yield from filled(buckets.rows())
+                    buckets = _Buckets(cap, size)
             if length > 2:
                 values, ok = levels[length - 2]
                 at = np.flatnonzero(ok)
-                hashes, first = np.unique(values[at], return_index=True)
-                fresh = np.ones(len(hashes), bool)
-                if len(seen):
-                    fresh = seen[np.minimum(np.searchsorted(seen, hashes), len(seen) - 1)] != hashes
-                if fresh.any():
-                    seen = np.sort(np.concatenate([seen, hashes[fresh]]), kind="stable")  # two runs in order
-                    begin = at[first[fresh]]
-                    parcels.add(block.langs, block.text[begin], hashes[fresh], block.phrases(begin, length - 1))
-                    if parcels.held > PACKED_BYTES:
-                        yield from sent()
-                if len(seen) > HASHES_HELD:
-                    seen = seen[:0]
-        yield from sent()
-        for row in buckets.rows() if buckets is not None else ():
-            nothing = [pa.nulls(len(row), kind) for kind in (pa.int64(), pa.string(), pa.binary())]
-            yield pa.RecordBatch.from_arrays([*row.columns, *nothing], [*_BUCKET_COLUMNS, *_PARCEL_COLUMNS])
-
-    return texts.mapInArrow(run, "block long, slots binary, counts binary, parcel long, lang string, phrases binary")
+                parcels.add(block, values[at], at, length - 1)
+                if parcels.full():
+                    yield from filled(parcels.rows())
+        yield from filled(parcels.rows())
+        if buckets is not None:
+            yield from filled(buckets.rows())
+
+    return texts.mapInArrow(run, ", ".join(f"{c} {kind}" for c, kind in kinds.items()))
+
+
+def _bucket_count(words: int) -> int:
+    """How many buckets the phrases of a corpus of so many words get: a power of two."""
+    return max(BUCKETS, min(MOST_BUCKETS, 1 << max(words // WORDS_A_BUCKET - 1, 0).bit_length()))
 
 
 def candidates(texts: DataFrame, words: DataFrame, min_count: int, max_words: int) -> DataFrame:
-    """``lang, phrase`` of two to ``max_words`` words: every phrase that may occur ``min_count`` times."""
+    """``parcel, lang, phrases, times``: the phrases of two to ``max_words`` words that may occur ``min_count``
+    times, each with the times that a task met it; every such phrase with all its times."""
+    spark = texts.sparkSession
+    total = words.agg(F.sum("f")).first()[0] or 0
+    size, dealt = _bucket_count(total), max(PARCELS, total // WORDS_A_PARCEL)
     bits = [_bits(_word_buckets(words.where(F.col("f") >= min_count), min_count), min_count)]
     found: DataFrame | None = None
     for length in range(2, max_words + 2):
-        level = stored(_level(texts, bits, length, max_words, min_count), f"phrases-{length}")
+        known = spark.sparkContext.broadcast(bits)
+        level = stored(_level(texts, known, length, max_words, min_count, size, dealt), f"phrases-{length}")
+        known.destroy()
         if length > 2:
             # phrases of different lengths differ
-            here = _unpacked(level.where("parcel IS NOT NULL"))
+            here = level.where("parcel IS NOT NULL").select(*_PARCEL_COLUMNS)
             found = here if found is None else found.union(here)
         if length <= max_words:
-            bits.append(_bits(level.where("block IS NOT NULL"), min_count))
+            bits.append(_bits(level.where("block IS NOT NULL"), min_count, size))
     return found
 
 
@@ -430,12 +471,13 @@ class DoubleArray:
     """
 
     def __init__(self, langs: list[str], keys: list[bytes]):
-        order = sorted(range(len(keys)), key=lambda i: (langs[i], keys[i]))
+        order = sorted(range(len(keys)), key=keys.__getitem__)
+        if len(set(langs)) > 1:
+            order.sort(key=langs.__getitem__)
         lengths = np.array([len(keys[i]) for i in order])
         width = int(lengths.max(initial=0))
         letters = np.zeros((len(order), width + 1), np.uint8)
-        for row, i in enumerate(order):
-            letters[row, : lengths[row]] = np.frombuffer(keys[i], np.uint8)
+        letters[np.arange(width + 1) < lengths[:, None]] = np.frombuffer(b"".join(keys[i] for i in order), np.uint8)
         number = np.array(order, np.int32)
         names = sorted(set(langs))
         self.roots = {name: 256 + i for i, name in enumerate(names)}
@@ -493,27 +535,22 @@ class DoubleArray:
         self.ends, self.numbers = ends[by_state].astype(np.int32), number[by_state]
 
 
-def accepted(trie: tuple, block: Block, text: np.ndarray, first: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Numbers of the keys found at these words, repeats included: every step advances all positions whose
-    state is still alive by one byte."""
-    _, roots, base, check, ends, numbers = trie
-    roots = np.array([roots.get(lang, -1) for lang in block.langs], np.int64)
-    at, state = first[words], roots[block.text[words]]
-    alive = state >= 0
-    at, state = at[alive], state[alive]
-    found = []
+def accepted(trie: DoubleArray, lang: str, text: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The number of the key that stands at each of these places up to the end of its line, or -1: every step
+    advances all places whose state is still alive by one byte."""
+    found = np.full(len(at), -1, np.int64)
+    place, state = np.arange(len(at)), np.full(len(at), trie.roots[lang])
     while len(at):
         byte = text[at]
-        edge = byte <= _SPACE  # cheap test first; words may hold other low bytes
-        if edge.any():
-            edge = (byte == _SPACE) | (byte == _END)
-            reached = state[edge]
-            key = np.minimum(np.searchsorted(ends, reached), len(ends) - 1)
-            found.append(numbers[key[ends[key] == reached]])
-        place = base[state] + byte
-        alive = (check[place] == state) & (byte != _END)
-        state, at = place[alive], at[alive] + 1
-    return np.concatenate(found) if found else np.zeros(0, np.int32)
+        over = byte == _END
+        if over.any():
+            reached = state[over]
+            key = np.minimum(np.searchsorted(trie.ends, reached), len(trie.ends) - 1)
+            found[place[over]] = np.where(trie.ends[key] == reached, trie.numbers[key], -1)
+        step = trie.base[state] + byte
+        alive = (trie.check[step] == state) & ~over
+        place, state, at = place[alive], step[alive], at[alive] + 1
+    return found
 
 
 def _sharded(phrases: DataFrame, trie_bytes: int) -> DataFrame:
@@ -553,90 +590,78 @@ def _sharded(phrases: DataFrame, trie_bytes: int) -> DataFrame:
     return ordered.mapInArrow(run, "lang string, phrase string, route long, shard long, id long")
 
 
-def _tries(shards: DataFrame) -> DataFrame:
-    def run(key: tuple, keys: pa.Table) -> pa.Table:
-        keys = keys.sort_by("id")
-        coded = [b" ".join(map(_stand_in, p.encode().split(b" "))) for p in keys["phrase"].to_pylist()]
-        trie = DoubleArray(keys["lang"].to_pylist(), coded)
-        return pa.table(
-            {
-                "shard": [key[0].as_py()],
-                "first": [pc.min(keys["route"]).as_py()],
-                "last": [pc.max(keys["route"]).as_py()],
-                "langs": pa.array([list(trie.roots)], pa.list_(pa.string())),
-                "base": pa.array([trie.base.tobytes()], pa.binary()),
-                "check": pa.array([trie.check.tobytes()], pa.binary()),
-                "ends": pa.array([trie.ends.tobytes()], pa.binary()),
-                "numbers": pa.array([trie.numbers.tobytes()], pa.binary()),
-                "size": [8 * (len(trie.base) + len(trie.ends))],
-            }
-        )
-
-    kinds = "shard long, first long, last long, langs array<string>, base binary, check binary, ends binary, numbers binary, size long"
-    return shards.groupBy("shard").applyInArrow(run, kinds)
-
-
-def _loaded(row) -> tuple:
-    """``shard, roots, base, check, ends, numbers``, without a class, so that tasks need no module to read it."""
-    roots = {lang: 256 + i for i, lang in enumerate(row["langs"])}
-    return (row["shard"], roots, *(np.frombuffer(row[c], np.int32) for c in ("base", "check", "ends", "numbers")))
-
-
-def counted(texts: DataFrame, phrases: DataFrame, trie_bytes: int = TRIE_BYTES, pass_bytes: int = PASS_BYTES) -> DataFrame:
-    """``lang, phrase, f``: how often each of the phrases occurs in the pieces of the texts."""
-    spark = texts.sparkSession
-    shards = stored(_sharded(phrases, trie_bytes), "shards")
-    tries = stored(_tries(shards), "tries")
-    passes: list[list[int]] = []
-    room = 0
-    for row in tries.select("shard", "size").orderBy("shard").toLocalIterator():
-        if not passes or row["size"] > room:
-            passes.append([])
-            room = pass_bytes
-        passes[-1].append(row["shard"])
-        room -= row["size"]
-    total: DataFrame | None = None
-    for names in passes:
-        chosen = tries.where(F.col("shard").between(names[0], names[-1])).toLocalIterator()
-        loaded = sorted(((r["first"], r["last"], _loaded(r)) for r in chosen), key=lambda row: row[0])
-        known = spark.sparkContext.broadcast(loaded)
-        del loaded
-        here = stored(_counts(texts, known), "counts")
-        known.destroy()
-        total = here if total is None else total.union(here)
-    if total is None:
-        return shards.select("lang", "phrase", F.col("id").alias("f"))
-    sums = total.groupBy("shard", "id").agg(F.sum("f").alias("f"))
-    return shards.join(sums, ["shard", "id"]).select("lang", "phrase", "f")
+def _coded(phrase: bytes) -> bytes:
+    """The phrase as tries have it."""
+    return phrase if len(phrase) <= LONG_WORD else b" ".join(map(_stand_in, phrase.split(b" ")))
+
+
+def _summed(lang: str, sent: list[tuple[bytes, bytes]], trie_bytes: int, pass_bytes: int) -> tuple[list[bytes], np.ndarray]:
+    """The distinct phrases of a parcel's rows and the sums of their times."""
+    names: dict[bytes, bytes] = {}
+    passes: list[tuple[np.ndarray, np.ndarray]] = []
+    texts, times, held = [], [], 0
+
+    def walkable() -> tuple[np.ndarray, np.ndarray]:
+        text = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+        return text, np.concatenate(times)
+
+    for phrases, sums in sent:
+        phrases = phrases.split(b"\n")
+        coded = list(map(_coded, phrases))
+        names.update(zip(coded, phrases))
+        text = b"\n".join(coded)
+        if texts and held + len(text) > pass_bytes:
+            passes.append(walkable())
+            texts, times, held = [], [], 0
+        texts.append(text)
+        times.append(_times(sums, len(phrases)))
+        held += len(text)
+    passes.append(walkable())
+    keys = list(names)
+    sizes = np.cumsum([len(key) for key in keys])
+    cuts = [0, *(np.flatnonzero(np.diff(sizes // trie_bytes)) + 1).tolist(), len(keys)]
+    total = np.zeros(len(keys), np.int64)
+    left = [np.append(0, np.flatnonzero(text == _END)[:-1] + 1) for text, _ in passes]
+    for a, b in zip(cuts, cuts[1:]):
+        trie = DoubleArray([lang] * (b - a), keys[a:b])
+        for i, (text, times) in enumerate(passes):
+            found = accepted(trie, lang, text, left[i])
+            here = found >= 0
+            total[a:b] += _weighted(found[here], times[here], b - a)
+            left[i], passes[i] = left[i][~here], (text, times[~here])
+    return list(names.values()), total
+
+
+def _weighted(numbers: np.ndarray, times: np.ndarray, size: int) -> np.ndarray:
+    """The sums of the times of each number; in two halves, as ``bincount`` adds floats."""
+    low, high = (np.bincount(numbers, part, size).astype(np.int64) for part in (times & 0xFFFF, times >> 16))
+    return low + (high << 16)
+
+
+def counted(sent: DataFrame, trie_bytes: int = TRIE_BYTES, pass_bytes: int = PASS_BYTES) -> DataFrame:
+    """``lang, phrase, f``: how often each of the phrases occurs that stand in ``parcel, lang, phrases, times``. Rows
+    of a parcel and language come one after the other, so a task holds the phrases of one."""
 
-
-def _counts(texts: DataFrame, known) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tries = [trie for _, _, trie in known.value]
-        begin, last = (np.array([row[i] for row in known.value], np.int64) for i in (0, 1))
-        sums = [np.zeros(len(trie[-1]), np.int64) for trie in tries]
-        for block in _blocks(batches):
-            if not len(block.starts):
-                continue
-            text, first = block.compact()
-            words = np.flatnonzero(block.joined)  # a phrase has a second word
-            routes = block.routes()[words]
-            number = np.searchsorted(begin, routes, "right") - 1
-            inside = (number >= 0) & (routes <= last[number])
-            words, number = words[inside], number[inside]
-            words = words[np.argsort(number, kind="stable")]
-            cuts = np.append(0, np.cumsum(np.bincount(number, minlength=len(tries))))
-            for i, (trie, total) in enumerate(zip(tries, sums)):
-                if cuts[i] < cuts[i + 1]:
-                    found = accepted(trie, block, text, first, words[cuts[i] : cuts[i + 1]])
-                    total += np.bincount(found, minlength=len(total))
-        for (shard, *_), total in zip(tries, sums):
-            ids = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(ids), shard)), pa.array(ids, pa.int64()), pa.array(total[ids])], ["shard", "id", "f"]
-            )
+        now, rows = None, []
+
+        def summed() -> pa.RecordBatch:
+            phrases, f = _summed(now[1], rows, trie_bytes, pass_bytes)
+            names = pa.array([now[1]] * len(phrases), pa.string())
+            return pa.RecordBatch.from_arrays([names, pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(f)], ["lang", "phrase", "f"])
+
+        for batch in batches:
+            for parcel, lang, phrases, times in zip(*(batch[c].to_pylist() for c in _PARCEL_COLUMNS)):
+                if (parcel, lang) != now:
+                    if rows:
+                        yield summed()
+                    now, rows = (parcel, lang), []
+                rows.append((phrases, times))
+        if rows:
+            yield summed()
 
-    return texts.mapInArrow(run, "shard long, id long, f long")
+    dealt = sent.select(*_PARCEL_COLUMNS).repartition("parcel", "lang").sortWithinPartitions("parcel", "lang")
+    return dealt.mapInArrow(run, "lang string, phrase string, f long")
 
 
 def _words(phrase: Column) -> Column:
@@ -704,9 +729,8 @@ def collocations(
     with small_batches(docs.sparkSession):
         texts = _texts(docs)
         words = stored(word_counts(texts), "words")
-        found = stored(candidates(texts, words, min_count, max_words), "candidates")
-        counts = stored(counted(texts, found, trie_bytes, pass_bytes), "phrase-counts")
-    frequent = counts.where(F.col("f") >= min_count)
+        sent = candidates(texts, words, min_count, max_words)
+        frequent = stored(counted(sent, trie_bytes, pass_bytes).where(F.col("f") >= min_count), "phrase-counts")
     parts = words.where(F.col("f") >= min_count).unionByName(frequent)
     kept = _scored(frequent, parts).join(_covered(frequent, covered_percent), ["lang", "phrase"], "left_anti")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
